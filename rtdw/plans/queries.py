@@ -11,7 +11,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import metrics
+from pyspark.sql import functions as F
+
+from ..functions import keywords
+from ..operators import dedupe, dims, metrics
 from ..sources import bindings as B
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +24,97 @@ def traffic_vc_ch_ar_is_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.traffic_vc_ch_ar_is_new(B.page_log(spark, sf_dir))
 
 
+
+def _money(df: DataFrame, cols) -> DataFrame:
+    """Amounts leave the engine as DECIMAL; the catalogue reports DOUBLE."""
+    for c in cols:
+        df = df.withColumn(c, F.col(c).cast("double"))
+    return df
+
+
+def traffic_home_detail_uv(spark, sf_dir):
+    return metrics.traffic_home_detail_uv(B.page_log(spark, sf_dir))
+
+
+def user_login_window(spark, sf_dir):
+    return metrics.user_login_window(B.page_log(spark, sf_dir))
+
+
+def cart_add_uu_window(spark, sf_dir):
+    return metrics.cart_add_uu_window(B.cart_info(spark, sf_dir), "2 seconds")
+
+
+def cart_add_uu_window_ms(spark, sf_dir):
+    # the reference's effective window: 2 s over ts_ms * 1000 = 2 ms
+    return metrics.cart_add_uu_window(B.cart_info(spark, sf_dir), "2 milliseconds")
+
+
+def province_order_window(spark, sf_dir):
+    out = metrics.province_order_window(B.order_fact(spark, sf_dir),
+                                        B.dim_base_province(spark, sf_dir), "4 seconds")
+    return _money(out, ["order_amount"])
+
+
+def province_order_window_ms(spark, sf_dir):
+    out = metrics.province_order_window(B.order_fact(spark, sf_dir),
+                                        B.dim_base_province(spark, sf_dir), "4 milliseconds")
+    return _money(out, ["order_amount"])
+
+
+def _sku_window(spark, sf_dir):
+    return metrics.sku_order_window(B.order_fact(spark, sf_dir), "10 seconds")
+
+
+def sku_order_window(spark, sf_dir):
+    return _money(_sku_window(spark, sf_dir), list(metrics.SKU_MEASURES.values()))
+
+
+def sku_order_enriched(spark, sf_dir):
+    out = dims.enrich_sku(
+        _sku_window(spark, sf_dir), B.dim_sku_info(spark, sf_dir), B.dim_spu_info(spark, sf_dir),
+        B.dim_base_trademark(spark, sf_dir), B.dim_base_category3(spark, sf_dir),
+        B.dim_base_category2(spark, sf_dir), B.dim_base_category1(spark, sf_dir))
+    return _money(out, list(metrics.SKU_MEASURES.values()))
+
+
+def keyword_tokens(spark, sf_dir):
+    sl = B.search_log(spark, sf_dir)
+    searched = sl.where((F.col("last_page_id") == "search") & (F.col("item_type") == "keyword")
+                        & F.col("item").isNotNull()).select("et", "item")
+    return keywords.explode_keywords(searched, "item", "keyword")
+
+
+def keyword_window(spark, sf_dir):
+    return metrics.keyword_window(keyword_tokens(spark, sf_dir), "10 seconds")
+
+
+def is_new_repair(spark, sf_dir):
+    pl = B.page_log(spark, sf_dir).select("mid", "d", "et", "seq", "is_new")
+    return dedupe.repair_is_new(pl).select("seq", "mid", "is_new", "is_new_fixed")
+
+
+def uv_by_channel(spark, sf_dir):
+    return metrics.uv_by_channel(traffic_vc_ch_ar_is_new(spark, sf_dir))
+
+
+def amount_by_province(spark, sf_dir):
+    pw = metrics.province_order_window(B.order_fact(spark, sf_dir),
+                                       B.dim_base_province(spark, sf_dir), "4 seconds")
+    return _money(metrics.amount_by_province(pw), ["order_amount"])
+
+
 QUERIES: dict[str, Query] = {
     "traffic_vc_ch_ar_is_new": traffic_vc_ch_ar_is_new,
+    "traffic_home_detail_uv": traffic_home_detail_uv,
+    "user_login_window": user_login_window,
+    "cart_add_uu_window": cart_add_uu_window,
+    "cart_add_uu_window_ms": cart_add_uu_window_ms,
+    "province_order_window": province_order_window,
+    "province_order_window_ms": province_order_window_ms,
+    "sku_order_window": sku_order_window,
+    "sku_order_enriched": sku_order_enriched,
+    "keyword_window": keyword_window,
+    "is_new_repair": is_new_repair,
+    "uv_by_channel": uv_by_channel,
+    "amount_by_province": amount_by_province,
 }
