@@ -54,7 +54,7 @@ def ms_to_yyyymmdd(ms) -> Column:
 
 def ms_string_to_date(s) -> Column:
     """FN5: epoch-ms *string* (CDC convention) -> ``yyyy-MM-dd``."""
-    return F.date_format(F.timestamp_millis(F.try_cast(_c(s), "bigint")), DATE_FMT)
+    return F.date_format(F.timestamp_millis(_c(s).try_cast("bigint")), DATE_FMT)
 
 
 def ts_to_ms(ts) -> Column:

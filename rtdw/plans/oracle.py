@@ -243,3 +243,13 @@ ORACLE: dict[str, str] = {
     "uv_by_channel": uv_by_channel(),
     "amount_by_province": amount_by_province(),
 }
+
+
+def _all() -> dict[str, str]:
+    from .oracle_cdc import oracles
+    out = dict(ORACLE)
+    out.update(oracles())
+    return out
+
+
+ORACLE = _all()

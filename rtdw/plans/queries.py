@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import keywords
-from ..operators import dedupe, dims, metrics
+from ..operators import dedupe, dims, facts, metrics
 from ..sources import bindings as B
+from ..sources import envelope
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -103,7 +104,107 @@ def amount_by_province(spark, sf_dir):
     return _money(metrics.amount_by_province(pw), ["order_amount"])
 
 
+# ------------------------------------------------------- change stream --
+
+CDC_SELECTIONS = {
+    "order_detail": facts.select_order_detail,
+    "order_info": facts.select_order_info,
+    "order_detail_activity": facts.select_order_detail_activity,
+    "order_detail_coupon": facts.select_order_detail_coupon,
+    "comment_info": facts.select_comment_info,
+    "cart_add": facts.select_cart_add,
+    "order_cancel": facts.select_order_cancel,
+    "order_cancel_strict": lambda cdc: facts.select_order_cancel(cdc, strict=True),
+    "payment_success": facts.select_payment_success,
+    "refund_request": facts.select_refund_request,
+    "order_refunded": lambda cdc: facts.select_order_refunded(cdc, with_user=True),
+    "refund_payment_success": facts.select_refund_payment_success,
+    "refund_approved": facts.select_refund_approved,
+}
+
+
+def _cdc_select(name):
+    def run(spark, sf_dir):
+        return CDC_SELECTIONS[name](B.topic_db(spark, sf_dir))
+    run.__name__ = f"cdc_select_{name}"
+    return run
+
+
+def cdc_gate(spark, sf_dir):
+    g = envelope.cdc_gate(B.topic_db(spark, sf_dir), B.DB_NAME)
+    return g.select(F.col("source")["table"].alias("source_table"), "op", "ts_ms", "seq",
+                    F.col("after")["id"].alias("after_id"))
+
+
+def config_image(spark, sf_dir):
+    cdc = B.topic_db(spark, sf_dir).where(
+        F.col("source")["table"].isin("order_info", "order_detail"))
+    img = envelope.config_image(cdc)
+    return img.select(F.col("source")["table"].alias("source_table"), "op", "seq",
+                      F.col("image")["id"].alias("image_id"),
+                      F.col("image")["order_status"].alias("image_status"))
+
+
+def split_original_amount(spark, sf_dir):
+    return facts.select_order_detail(B.topic_db(spark, sf_dir)).select(
+        "id", "sku_num", "split_original_amount")
+
+
+def fact_comment(spark, sf_dir):
+    return facts.fact_comment(B.topic_db(spark, sf_dir), B.base_dic(spark))
+
+
+def fact_cart_add(spark, sf_dir):
+    return facts.select_cart_add(B.topic_db(spark, sf_dir))
+
+
+def fact_order_detail(spark, sf_dir):
+    return facts.fact_order_detail(B.topic_db(spark, sf_dir))
+
+
+def fact_order_cancel(spark, sf_dir):
+    cdc = B.topic_db(spark, sf_dir)
+    return facts.fact_order_cancel(facts.fact_order_detail(cdc), cdc)
+
+
+def fact_order_cancel_strict(spark, sf_dir):
+    cdc = B.topic_db(spark, sf_dir)
+    return facts.fact_order_cancel(facts.fact_order_detail(cdc), cdc, strict=True)
+
+
+def fact_order_pay_suc(spark, sf_dir):
+    cdc = B.topic_db(spark, sf_dir)
+    return facts.fact_order_pay_success(facts.fact_order_detail(cdc), cdc)
+
+
+def fact_order_refund(spark, sf_dir):
+    return facts.fact_order_refund(B.topic_db(spark, sf_dir))
+
+
+def fact_refund_pay_suc(spark, sf_dir):
+    return facts.fact_refund_pay_success(B.topic_db(spark, sf_dir))
+
+
+def upsert_latest(spark, sf_dir):
+    of = B.order_fact(spark, sf_dir).select(
+        "id", "order_id", "sku_id", "province_id", "split_total_amount", "ts_ms", "seq")
+    return _money(facts.upsert_latest(of, "id", seq_col="seq"), ["split_total_amount"])
+
+
 QUERIES: dict[str, Query] = {
+    **{f"cdc_select_{n}": _cdc_select(n) for n in CDC_SELECTIONS},
+    "cdc_gate": cdc_gate,
+    "config_image": config_image,
+    "split_original_amount": split_original_amount,
+    "fact_comment": fact_comment,
+    "fact_cart_add": fact_cart_add,
+    "fact_order_detail": fact_order_detail,
+    "fact_order_cancel": fact_order_cancel,
+    "fact_order_cancel_strict": fact_order_cancel_strict,
+    "fact_order_pay_suc": fact_order_pay_suc,
+    "fact_order_refund": fact_order_refund,
+    "fact_refund_pay_suc": fact_refund_pay_suc,
+    "upsert_latest": upsert_latest,
     "traffic_vc_ch_ar_is_new": traffic_vc_ch_ar_is_new,
     "traffic_home_detail_uv": traffic_home_detail_uv,
     "user_login_window": user_login_window,

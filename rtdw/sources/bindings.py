@@ -422,9 +422,9 @@ def dim_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
     full = F.create_map(F.lit("id"), _s(k), F.lit("name"), F.col("c_name"),
                         F.lit("nation_id"), _s("c_nationkey"),
-                        F.lit("balance"), _s("c_acctbal"), F.lit("segment"), F.col("c_mktsegment"))
+                        F.lit("balance"), _s(F.col("c_acctbal").cast("decimal(16,2)")), F.lit("segment"), F.col("c_mktsegment"))
     upd = F.create_map(F.lit("id"), _s(k), F.lit("name"), F.lit(""),
-                       F.lit("balance"), _s(F.col("c_acctbal") + 1))
+                       F.lit("balance"), _s(F.col("c_acctbal").cast("decimal(16,2)") + 1))
     reins = F.create_map(F.lit("id"), _s(k), F.lit("name"), F.concat(F.col("c_name"), F.lit("*")),
                          F.lit("segment"), F.lit("REBORN"))
     ev = F.array(
