@@ -246,9 +246,10 @@ ORACLE: dict[str, str] = {
 
 
 def _all() -> dict[str, str]:
-    from .oracle_cdc import oracles
+    from . import oracle_cdc, oracle_more
     out = dict(ORACLE)
-    out.update(oracles())
+    out.update(oracle_cdc.oracles())
+    out.update(oracle_more.oracles())
     return out
 
 

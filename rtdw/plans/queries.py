@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from ..functions import keywords
-from ..operators import dedupe, dims, facts, metrics
+from .. import sinks
+from ..functions import keywords, timefn
+from ..operators import dedupe, dims, facts, logs, metrics, routing
 from ..sources import bindings as B
 from ..sources import envelope
 
@@ -219,3 +220,130 @@ QUERIES: dict[str, Query] = {
     "uv_by_channel": uv_by_channel,
     "amount_by_province": amount_by_province,
 }
+
+
+# ------------------------------------------------- routing and dimensions --
+
+def dim_route(spark, sf_dir):
+    out = routing.dim_route(B.topic_db(spark, sf_dir), B.dim_config_changelog(spark), B.DB_NAME)
+    return out.select("sink_table", "sink_family", "op", "ts_ms", "seq", "row_key",
+                      routing.map_signature(F.col("data")).alias("data_sig"))
+
+
+def dwd_route(spark, sf_dir):
+    out = routing.dwd_route(B.topic_db(spark, sf_dir), B.dwd_config_changelog(spark))
+    return out.select("sink_table", "seq", "ts",
+                      routing.map_signature(F.col("data")).alias("data_sig"))
+
+
+def dim_merge(spark, sf_dir):
+    return dims.dim_merge(B.dim_changelog(spark, sf_dir), "id",
+                          ["name", "nation_id", "balance", "segment"])
+
+
+def dim_lookup_miss(spark, sf_dir):
+    """Comment rows looked up in the province dimension by a key
+    that is NULL for error comments and out of range for some users."""
+    c = B.comment_info(spark, sf_dir).select(
+        "id", F.when(F.col("appraise") != "error", (F.col("user_id").cast("bigint") % 30)
+                     .cast("string")).alias("province_id"))
+    return dims.lookup_dim(c, B.dim_base_province(spark, sf_dir), "province_id",
+                           {"name": "province_name"})
+
+
+# ------------------------------------------------------------------- logs --
+
+def _split(spark, sf_dir):
+    return logs.split(logs.repair_log(B.log_records(spark, sf_dir)))
+
+
+def _n(arr):
+    return F.when(F.col(arr).isNotNull(), F.size(arr))
+
+
+def log_err(spark, sf_dir):
+    e = _split(spark, sf_dir)["err"]
+    return e.select("seq", F.col("common")["mid"].alias("mid"),
+                    F.col("common")["is_new"].alias("is_new"),
+                    F.col("page")["page_id"].alias("page_id"),
+                    F.col("start")["entry"].alias("start_entry"),
+                    F.col("err")["error_code"].alias("error_code"),
+                    _n("displays").alias("n_displays"), _n("actions").alias("n_actions"), "ts")
+
+
+def log_start(spark, sf_dir):
+    s = _split(spark, sf_dir)["start"]
+    return s.select("seq", F.col("common")["mid"].alias("mid"),
+                    F.col("common")["is_new"].alias("is_new"),
+                    F.col("start")["entry"].alias("entry"),
+                    F.col("start")["loading_time"].alias("loading_time"),
+                    F.col("err").isNotNull().alias("has_err"), "ts")
+
+
+def log_page(spark, sf_dir):
+    p = _split(spark, sf_dir)["page"]
+    return p.select("seq", F.col("common")["mid"].alias("mid"),
+                    F.col("common")["is_new"].alias("is_new"),
+                    F.col("page")["page_id"].alias("page_id"),
+                    F.col("page")["last_page_id"].alias("last_page_id"),
+                    F.col("page")["during_time"].alias("during_time"),
+                    _n("displays").alias("displays_left"), _n("actions").alias("actions_left"),
+                    F.col("err").isNotNull().alias("has_err"), "ts")
+
+
+def log_display(spark, sf_dir):
+    d = _split(spark, sf_dir)["display"]
+    return d.select("seq", F.col("common")["mid"].alias("mid"),
+                    F.col("page")["page_id"].alias("page_id"),
+                    F.col("display")["item"].alias("item"),
+                    F.col("display")["item_type"].alias("item_type"),
+                    F.col("display")["pos_id"].alias("pos_id"), "ts")
+
+
+def log_action(spark, sf_dir):
+    a = _split(spark, sf_dir)["action"]
+    return a.select("seq", F.col("common")["mid"].alias("mid"),
+                    F.col("page")["page_id"].alias("page_id"),
+                    F.col("action")["action_id"].alias("action_id"),
+                    F.col("action")["item"].alias("item"))
+
+
+def dirty_records(spark, sf_dir):
+    _, dirty = logs.clean(B.log_json(spark, sf_dir), keep=("seq",))
+    return dirty.select("seq", "value")
+
+
+def metric_json(spark, sf_dir):
+    """PRJ29: metric rows as snake_case JSON (NULL fields dropped)."""
+    pw = province_order_window(spark, sf_dir)
+    return sinks.metric_json(pw).select("value")
+
+
+def date_functions(spark, sf_dir):
+    o = B.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    ms = timefn.ts_to_ms("o_orderdate")
+    d = timefn.ms_to_date(ms)
+    dt = timefn.ms_to_datetime(ms)
+    return o.select(
+        "o_orderkey", ms.alias("ms"), d.alias("d_str"), dt.alias("dt_str"),
+        timefn.ms_to_yyyymmdd(ms).alias("ymd"),
+        timefn.datetime_str_to_ms(dt).alias("ms_from_dt"),
+        timefn.date_str_to_ms(d).alias("ms_from_d"),
+        timefn.ms_string_to_date(ms.cast("string")).alias("fn5_date"),
+        timefn.previous_day(F.to_date(d)).cast("string").alias("prev_day"))
+
+
+QUERIES.update({
+    "dim_route": dim_route,
+    "dwd_route": dwd_route,
+    "dim_merge": dim_merge,
+    "dim_lookup_miss": dim_lookup_miss,
+    "log_err": log_err,
+    "log_start": log_start,
+    "log_page": log_page,
+    "log_display": log_display,
+    "log_action": log_action,
+    "dirty_records": dirty_records,
+    "metric_json": metric_json,
+    "date_functions": date_functions,
+})

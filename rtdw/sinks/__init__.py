@@ -1,0 +1,148 @@
+"""Sinks (SNK1-SNK11) and output formatting (PRJ29, FN15).
+
+Batch writers take a DataFrame; streaming writers are ``foreachBatch``
+functions built on the same batch writers, so a micro-batch is written exactly
+like a batch job. Idempotence on replay: every micro-batch write replaces the
+output folder of its own ``batch_id`` (files) or merges by key (tables), so a
+batch re-run after a failure leaves no duplicates.
+
+Kafka and JDBC targets are described by option builders: their connector jars
+are not part of this build, so only the file targets run in tests.
+"""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Callable, Mapping, Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# ------------------------------------------------------------- formatting --
+
+
+def snake_case(name: str) -> str:
+    """FN15: ``camelCase`` -> ``snake_case``."""
+    return re.sub(r"(?<!^)(?=[A-Z])", "_", name).lower()
+
+
+def camel_case(name: str) -> str:
+    """FN15: ``snake_case`` -> ``camelCase``."""
+    head, *rest = name.split("_")
+    return head + "".join(p[:1].upper() + p[1:] for p in rest)
+
+
+def rename_columns(df: DataFrame, fn: Callable[[str], str]) -> DataFrame:
+    return df.toDF(*[fn(c) for c in df.columns])
+
+
+def metric_json(df: DataFrame, hidden: Sequence[str] = ()) -> DataFrame:
+    """PRJ29: one JSON object per metric row, snake_case names, hidden fields
+    left out, NULL fields dropped (``to_json`` omits them)."""
+    visible = [F.col(c).alias(snake_case(c)) for c in df.columns if c not in hidden]
+    return df.select(F.to_json(F.struct(*visible)).alias("value"))
+
+
+# ------------------------------------------------------------ file writers --
+
+def write_json_lines(df: DataFrame, path: str, mode: str = "append") -> None:
+    """SNK1 / SNK5 file form: JSON lines."""
+    df.write.mode(mode).json(path)
+
+
+def write_routed(df: DataFrame, path: str, route_col: str = "sink_table",
+                 mode: str = "append") -> None:
+    """SNK2: destination chosen per row (one folder per sink table)."""
+    df.write.mode(mode).partitionBy(route_col).parquet(path)
+
+
+def write_with_serializer(df: DataFrame, path: str, key: F.Column | None,
+                          value: F.Column, mode: str = "append") -> None:
+    """SNK3: caller supplies key/value expressions."""
+    cols = [value.alias("value")] + ([key.alias("key")] if key is not None else [])
+    df.select(*cols).write.mode(mode).json(path)
+
+
+def write_dead_letters(dirty: DataFrame, path: str) -> None:
+    """SNK8: unparsable records, raw text kept."""
+    dirty.write.mode("append").json(path)
+
+
+def write_split(parts: Mapping[str, DataFrame], base: str) -> None:
+    """SNK9: five outputs of one log batch. Callers persist the repaired
+    batch before splitting so the five writes share one computation."""
+    for name, df in parts.items():
+        df.write.mode("append").json(f"{base.rstrip('/')}/{name}")
+
+
+def show(df: DataFrame, label: str, n: int = 20) -> None:
+    """SNK10: labelled debug print."""
+    print(f"--- {label} ---")
+    df.show(n, truncate=False)
+
+
+def create_dim_table(spark: SparkSession, name: str, columns: Sequence[str],
+                     location: str | None = None) -> None:
+    """SNK11: create a dimension table of string columns if absent."""
+    cols = ", ".join(f"`{c}` STRING" for c in columns)
+    loc = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet{loc}")
+
+
+def drop_dim_table(spark: SparkSession, name: str) -> None:
+    """SNK11: drop a dimension table if present."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+# --------------------------------------------------------- keyed / upsert --
+
+def upsert_key_value(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """SNK4 record form: JSON key of the primary key, JSON value of the row."""
+    return df.select(F.to_json(F.struct(*key)).alias("key"),
+                     F.to_json(F.struct(*df.columns)).alias("value"))
+
+
+def merge_upsert(current: DataFrame | None, changes: DataFrame, key: Sequence[str],
+                 seq_col: str) -> DataFrame:
+    """SNK4 / SNK7 table form: the new table = current rows whose key did not
+    change, plus the latest change per key. Written by the caller to a fresh
+    location and swapped in (atomic replace), never in place."""
+    from ..operators.facts import upsert_latest
+
+    latest = upsert_latest(changes, list(key), seq_col)
+    if current is None:
+        return latest
+    untouched = current.join(latest.select(*key), list(key), "left_anti")
+    return untouched.unionByName(latest.select(*current.columns))
+
+
+# -------------------------------------------------- streaming foreachBatch --
+
+def idempotent_files(path: str, fmt: str = "json") -> Callable[[DataFrame, int], None]:
+    """SNK5/SNK6: ``foreachBatch`` writer that overwrites the folder of its
+    own batch id, so a replayed batch replaces instead of duplicating."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").format(fmt).save(f"{path.rstrip('/')}/batch={batch_id}")
+    return write
+
+
+# ------------------------------------------------------ connector options --
+
+def kafka_source_options(servers: str, topic: str, group: str) -> dict[str, str]:
+    """SRC1 options: whole topic from the earliest offset."""
+    return {"kafka.bootstrap.servers": servers, "subscribe": topic,
+            "startingOffsets": "earliest", "kafka.group.id": group,
+            "failOnDataLoss": "false"}
+
+
+def kafka_sink_options(servers: str, topic: str | None = None) -> dict[str, str]:
+    """SNK1/SNK2 options; without ``topic`` the ``topic`` column routes rows."""
+    opts = {"kafka.bootstrap.servers": servers}
+    if topic:
+        opts["topic"] = topic
+    return opts
+
+
+def jdbc_options(url: str, table: str, user: str, password: str) -> dict[str, str]:
+    """SRC7 / OLAP sink options."""
+    return {"url": url, "dbtable": table, "user": user, "password": password}

@@ -439,3 +439,38 @@ def dim_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("e.before").alias("before"), F.col("e.after").alias("after"),
         F.create_map(F.lit("db"), F.lit(DB_NAME), F.lit("table"), F.lit("user_info")).alias("source"),
         (k * 10 + F.col("e.step")).alias("seq"))
+
+
+# ----------------------------------------------------------- routing config --
+# fixed values: routing configuration change logs (a handful of rows per
+# source table, as a config database holds); they include an update, a
+# delete and a column list naming an absent column.
+
+DIM_CONFIG_ROWS = [
+    ("order_info", "dim_order_info", "id,user_id,province_id", "info", "id", "r", 1),
+    ("comment_info", "dim_comment_info", "id,appraise,no_such_column", "info", "id", "r", 2),
+    ("cart_info", "dim_cart_info", "id,user_id", "info", "id", "r", 3),
+    ("order_info", "dim_order_info", "id,user_id,province_id,order_status", "info", "id", "u", 4),
+    ("cart_info", "dim_cart_info", "id,user_id", "info", "id", "d", 5),
+    ("payment_info", "dim_payment", "order_id,payment_status", "info", "order_id", "c", 6),
+]
+
+DWD_CONFIG_ROWS = [
+    ("cart_info", "bootstrap-insert", "dwd_trade_cart_add", "id,user_id,sku_id,sku_num", "r", 1),
+    ("comment_info", "bootstrap-insert", "dwd_interaction_comment_info", "id,user_id,sku_id,appraise", "r", 2),
+    ("order_info", "update", "dwd_order_update", "id,order_status", "r", 3),
+    ("order_info", "insert", "dwd_order_create", "id,user_id,province_id", "r", 4),
+    ("order_info", "update", "dwd_order_update", "id,order_status,operate_time", "u", 5),
+    ("payment_info", "bootstrap-insert", "dwd_payment", "order_id,payment_status,missing", "c", 6),
+    ("payment_info", "bootstrap-insert", "dwd_payment", "order_id", "d", 7),
+]
+
+
+def dim_config_changelog(spark: SparkSession) -> DataFrame:
+    from ..operators.routing import DIM_CFG_SCHEMA
+    return spark.createDataFrame(DIM_CONFIG_ROWS, DIM_CFG_SCHEMA)
+
+
+def dwd_config_changelog(spark: SparkSession) -> DataFrame:
+    from ..operators.routing import DWD_CFG_SCHEMA
+    return spark.createDataFrame(DWD_CONFIG_ROWS, DWD_CFG_SCHEMA)
