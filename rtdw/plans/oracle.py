@@ -254,3 +254,24 @@ def _all() -> dict[str, str]:
 
 
 ORACLE = _all()
+
+
+def _closed(sql: str, watermark_ms: str) -> str:
+    """Windows an append-mode stream has emitted: end <= final watermark."""
+    return (f"SELECT * FROM ({sql}) w WHERE w.edt <= "
+            f"(SELECT strftime(epoch_ms({watermark_ms}), '%Y-%m-%d %H:%M:%S'))")
+
+
+MAX_EVENT_MS = "(SELECT max(epoch_us(ts) // 1000) FROM events)"
+MAX_LOGIN_MS = ("(SELECT max(epoch_us(ts) // 1000) FROM events WHERE "
+                "event_type = 'signup' OR event_id % 50 = 0)")
+MAX_SEARCH_MS = ("(SELECT max(epoch_us(e.ts) // 1000) - 3000 FROM events e JOIN documents d "
+                 "ON d.doc_id = e.event_id WHERE e.event_type = 'view' AND e.event_id % 50 <> 0 "
+                 "AND d.text IS NOT NULL)")
+
+ORACLE.update({
+    "stream_traffic_vc_ch_ar_is_new": _closed(traffic_vc_ch_ar_is_new(), MAX_EVENT_MS),
+    "stream_user_login_window": _closed(user_login_window(), MAX_LOGIN_MS),
+    "stream_is_new_repair": is_new_repair(),
+    "stream_keyword_window": _closed(keyword_window(), MAX_SEARCH_MS),
+})

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from .. import sinks
 from ..functions import keywords, timefn
 from ..operators import dedupe, dims, facts, logs, metrics, routing
+from ..streaming import jobs as stream_jobs
 from ..sources import bindings as B
 from ..sources import envelope
 
@@ -347,3 +348,42 @@ QUERIES.update({
     "metric_json": metric_json,
     "date_functions": date_functions,
 })
+
+
+# ------------------------------------------------------------- streaming --
+# Stream forms: the events table is read as a file stream and run with an
+# available-now trigger; windows come out once the watermark passes them.
+
+def stream_traffic_vc_ch_ar_is_new(spark, sf_dir):
+    ev = stream_jobs.read_table_stream(spark, sf_dir, "events")
+    return stream_jobs.run_available_now(stream_jobs.traffic_vc_ch_ar_is_new(ev), "traffic")
+
+
+def stream_user_login_window(spark, sf_dir):
+    ev = stream_jobs.read_table_stream(spark, sf_dir, "events")
+    return stream_jobs.run_available_now(stream_jobs.user_login_window(ev), "login")
+
+
+def stream_is_new_repair(spark, sf_dir):
+    ev = stream_jobs.read_table_stream(spark, sf_dir, "events")
+    out = stream_jobs.run_available_now(stream_jobs.is_new_repair(ev), "is_new")
+    return out.select("seq", "mid", "is_new", "is_new_fixed")
+
+
+def stream_keyword_window(spark, sf_dir):
+    ev = stream_jobs.read_table_stream(spark, sf_dir, "events")
+    docs = B.table(spark, sf_dir, "documents").select("doc_id", "text")
+    pl = B.page_log_from(ev)
+    s = pl.join(docs, pl.seq == docs.doc_id, "left").select(
+        "et", "last_page_id",
+        F.when(F.col("page_id") == "home", "keyword").otherwise("sku_id").alias("item_type"),
+        F.when(F.col("page_id") == "home", F.col("text")).otherwise(F.col("uid")).alias("item"))
+    return stream_jobs.run_available_now(stream_jobs.keyword_window(s), "keyword")
+
+
+QUERIES.update({
+    "stream_traffic_vc_ch_ar_is_new": stream_traffic_vc_ch_ar_is_new,
+    "stream_user_login_window": stream_user_login_window,
+    "stream_is_new_repair": stream_is_new_repair,
+    "stream_keyword_window": stream_keyword_window,
+})

@@ -31,7 +31,11 @@ def _s(c) -> Column:
 
 def page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat page log (one row per page view) from ``events``."""
-    ev = table(spark, sf_dir, "events")
+    return page_log_from(table(spark, sf_dir, "events"))
+
+
+def page_log_from(ev: DataFrame) -> DataFrame:
+    """The page-log projection of an ``events`` DataFrame (batch or stream)."""
     et = F.col("event_type")
     return ev.select(
         F.concat(F.lit("mid_"), _s("user_id")).alias("mid"),
