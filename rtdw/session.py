@@ -41,6 +41,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -54,6 +55,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make ``rtdw`` importable in Python workers (state processors, UDTF):
+    zip the package into the shared folder once per session and add it with
+    ``addPyFile``, which distributes it to every executor."""
+    if spark.conf.get("rtdw.package.shipped", "false") == "true":
+        return
+    import shutil
+    import uuid
+
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(ensure_checkpoint_dir(spark), "pyfiles", uuid.uuid4().hex[:8])
+    os.makedirs(target, exist_ok=True)
+    archive = shutil.make_archive(os.path.join(target, "rtdw"), "zip",
+                                  root_dir=os.path.dirname(pkg), base_dir="rtdw")
+    spark.sparkContext.addPyFile(archive)
+    spark.conf.set("rtdw.package.shipped", "true")
+
+
 def state_dir(spark: SparkSession, name: str) -> str:
     """A per-query streaming checkpoint location under the shared folder."""
     return os.path.join(ensure_checkpoint_dir(spark), "streams", name)
