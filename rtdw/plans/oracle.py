@@ -275,3 +275,8 @@ ORACLE.update({
     "stream_is_new_repair": is_new_repair(),
     "stream_keyword_window": _closed(keyword_window(), MAX_SEARCH_MS),
 })
+
+ORACLE["stream_province_order_window"] = _closed(
+    province_order_window(4000),
+    "(SELECT max(epoch_ms(l_shipdate) + (l_partkey % 20) * 1000) FROM lineitem l "
+    "JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey)")

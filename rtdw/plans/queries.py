@@ -387,3 +387,21 @@ QUERIES.update({
     "stream_is_new_repair": stream_is_new_repair,
     "stream_keyword_window": stream_keyword_window,
 })
+
+
+def stream_province_order_window(spark, sf_dir):
+    """ST6 in keyed state: the order fact is written once (batch, derived from
+    the tables) into the shared folder and replayed as a file stream."""
+    import uuid
+    from ..session import state_dir
+    path = state_dir(spark, f"order-fact-{uuid.uuid4().hex[:8]}")
+    B.order_fact(spark, sf_dir).select(
+        "id", "seq", "order_id", "province_id", "split_total_amount", "et", "ts_ms") \
+        .write.parquet(path)
+    src = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    out = stream_jobs.run_available_now(
+        stream_jobs.province_order_window(src, B.dim_base_province(spark, sf_dir)), "province")
+    return _money(out, ["order_amount"])
+
+
+QUERIES["stream_province_order_window"] = stream_province_order_window
