@@ -46,9 +46,17 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; set one only when the cluster did not."""
+    """Return the shared checkpoint folder (a path or a URI).
+
+    The cluster names it in ``spark.checkpoint.dir``. Only a local master may
+    leave it unset: a folder on one machine is no shared folder, so on a
+    cluster that is an error, not a fallback.
+    """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         current = tempfile.mkdtemp(prefix="rtdw-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
@@ -57,17 +65,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def ship_package(spark: SparkSession) -> None:
     """Make ``rtdw`` importable in Python workers (state processors, UDTF):
-    zip the package into the shared folder once per session and add it with
-    ``addPyFile``, which distributes it to every executor."""
+    zip the package on the driver and hand that local file to ``addPyFile``,
+    which serves it to every executor itself; no shared folder is involved."""
     if spark.conf.get("rtdw.package.shipped", "false") == "true":
         return
     import shutil
-    import uuid
 
     pkg = os.path.dirname(os.path.abspath(__file__))
-    target = os.path.join(ensure_checkpoint_dir(spark), "pyfiles", uuid.uuid4().hex[:8])
-    os.makedirs(target, exist_ok=True)
-    archive = shutil.make_archive(os.path.join(target, "rtdw"), "zip",
+    archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="rtdw-pkg-"), "rtdw"), "zip",
                                   root_dir=os.path.dirname(pkg), base_dir="rtdw")
     spark.sparkContext.addPyFile(archive)
     spark.conf.set("rtdw.package.shipped", "true")
@@ -75,4 +80,4 @@ def ship_package(spark: SparkSession) -> None:
 
 def state_dir(spark: SparkSession, name: str) -> str:
     """A per-query streaming checkpoint location under the shared folder."""
-    return os.path.join(ensure_checkpoint_dir(spark), "streams", name)
+    return "/".join((ensure_checkpoint_dir(spark).rstrip("/"), "streams", name))
