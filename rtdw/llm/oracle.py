@@ -41,6 +41,64 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM v
 """
 
+
+def draw(*key: str) -> str:
+    """SQL of the uniform draw: 52 bits of the MD5 of the key's parts."""
+    text = "concat_ws('|', " + ", ".join(f"coalesce(({k})::VARCHAR, '')" for k in key) + ")"
+    return f"((('0x' || substr(md5({text}), 1, 13))::BIGINT)::DOUBLE + 0.5) / 4503599627370496.0"
+
+
+def _ctes_mixing(table: str) -> str:
+    """CTEs m0..m9; the last has rows (doc_id, source, digest, occurrence, size,
+    source_size, target, copies)."""
+    return rf"""
+m0 AS (SELECT doc_id, source, md5(coalesce(text, '')) AS digest,
+              len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS size FROM {table}),
+m1 AS (SELECT *, row_number() OVER (PARTITION BY doc_id, digest, source) AS occurrence FROM m0),
+m2 AS (SELECT source, sum(size)::BIGINT AS words,
+              [1.0, 2.0, 3.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS weight
+       FROM m1 GROUP BY source),
+m3 AS (SELECT *, 3.0 * words AS cap,
+              coalesce(sum(3.0 * words) OVER need, 0) AS cap_before, coalesce(sum(weight) OVER need, 0) AS weight_before,
+              sum(words) OVER () AS all_words, sum(weight) OVER () AS all_weight
+       FROM m2 WINDOW need AS (ORDER BY 3.0 * words / weight, source NULLS LAST
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+m3b AS (SELECT *, (all_words - cap_before)::DOUBLE / (all_weight - weight_before) AS level FROM m3),
+lvl AS (SELECT arg_min(level, cap_before) AS level FROM m3b WHERE cap >= level * weight),
+m4 AS (SELECT source, words, least(cap::DOUBLE, weight * coalesce((SELECT level FROM lvl), 0)) AS target FROM m3b),
+f1 AS (SELECT m1.source, size, count(*) AS docs, any_value(target) AS target
+       FROM m1 JOIN m4 ON m1.source IS NOT DISTINCT FROM m4.source WHERE size > 0 GROUP BY 1, 2),
+f2 AS (SELECT *, (target - coalesce(sum(docs * size * 3.0) OVER (PARTITION BY source ORDER BY size DESC
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+              / sum(docs * size * sqrt(size)) OVER (PARTITION BY source ORDER BY size DESC
+                     ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS k FROM f1),
+f3 AS (SELECT source, arg_max(k, size) AS k FROM f2 WHERE k * sqrt(size) <= 3.0 GROUP BY source),
+m5 AS (SELECT m1.*, words, target,
+              CASE WHEN size = 0 THEN 0.0 WHEN k IS NULL THEN 3.0 ELSE least(3.0, k * sqrt(size)) END AS expected
+       FROM m1 JOIN m4 ON m1.source IS NOT DISTINCT FROM m4.source LEFT JOIN f3 ON m1.source IS NOT DISTINCT FROM f3.source),
+m6 AS (SELECT *, floor(expected) AS whole, expected - floor(expected) AS p,
+              {draw('doc_id', 'digest', 'occurrence')} AS u FROM m5),
+m7 AS (SELECT *, CASE WHEN p > 0 AND size > 0 THEN (u / (1 - u)) / (p / (1 - p)) END AS rank FROM m6),
+m7b AS (SELECT *, target - sum(whole * size) OVER (PARTITION BY source) AS room,
+               sum(size) OVER (PARTITION BY source ORDER BY rank NULLS LAST, doc_id, digest, occurrence
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM m7),
+m8 AS (SELECT *, rank IS NOT NULL AND upto <= room AS more FROM m7b),
+g1 AS (SELECT source, any_value(target) - sum(whole * size + CASE WHEN more THEN size ELSE 0 END) AS gap FROM m8 GROUP BY source),
+g2 AS (SELECT m8.source, doc_id, digest, occurrence,
+              row_number() OVER (PARTITION BY m8.source ORDER BY abs(gap - size), rank, doc_id, digest, occurrence) AS rn
+       FROM m8 JOIN g1 ON m8.source IS NOT DISTINCT FROM g1.source
+       WHERE rank IS NOT NULL AND NOT more AND abs(gap - size) < gap),
+m9 AS (SELECT m8.doc_id, m8.source, m8.digest, m8.occurrence, size, words AS source_size, target,
+              (whole + CASE WHEN more OR g2.rn IS NOT NULL THEN 1 ELSE 0 END)::BIGINT AS copies
+       FROM m8 LEFT JOIN g2 ON g2.rn = 1 AND m8.source IS NOT DISTINCT FROM g2.source
+            AND m8.doc_id IS NOT DISTINCT FROM g2.doc_id AND m8.digest = g2.digest AND m8.occurrence = g2.occurrence)"""
+
+
+OP3 = f"""WITH {_ctes_mixing('documents')}
+SELECT doc_id, size, source_size, target, (copies * size)::BIGINT AS taken FROM m9"""
+
+
 LLM_ORACLE = {
+    "op3_mixing": OP3,
     "op10_quality_rules": OP10,
 }
