@@ -13,6 +13,49 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rtdw.llm import minhash_dedup
+
+    return minhash_dedup.near_duplicates(documents(spark, sf_dir))
+
+
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rtdw.llm import substring_dedup
+
+    return substring_dedup.dedup(documents(spark, sf_dir)).drop("kept_text")
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rtdw.llm import mixing
+
+    return mixing.taken(documents(spark, sf_dir))
+
+
+def spans_text(found, kinds=None):
+    """``kind:start:end`` comma-joined, of all spans or of some kinds."""
+    wanted = found if kinds is None else F.filter(found, lambda x: x["kinds"].isin(*kinds))
+    return F.array_join(F.transform(wanted, lambda x: F.concat_ws(
+        ":", x["kinds"], x["starts"].cast("string"), x["ends"].cast("string"))), ",")
+
+
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rtdw.llm import secrets
+
+    found = secrets.scan(documents(spark, sf_dir))
+    zipped = F.arrays_zip("starts", "ends", "kinds")
+    base = [r.kind for r in secrets.RULES if r.base]
+    count = lambda kind: F.size(F.filter(F.col("kinds"), lambda k: k == kind)).cast("long")
+    return found.select("doc_id", *(count(k).alias(f"n_{k}") for k in base),
+                        F.sha2(spans_text(zipped, base).cast("binary"), 256).alias("base_sha256"),
+                        spans_text(zipped).alias("spans"))
+
+
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rtdw.llm import sharding
+
+    return sharding.shard_plan(documents(spark, sf_dir))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rtdw.llm import quality_rules as rules
 
@@ -23,5 +66,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op1_minhash_dedup": op1_minhash_dedup,
+    "op2_substring_dedup": op2_substring_dedup,
+    "op3_mixing": op3_mixing,
+    "op5_secrets": op5_secrets,
+    "op8_sharding": op8_sharding,
     "op10_quality_rules": op10_quality_rules,
 }
