@@ -41,6 +41,7 @@ from rtdw.llm.common import columns_of, fresh, stored, text_of, unit_draw, word_
 MOST = 3.0
 WEIGHTS = (1.0, 2.0, 3.0)
 BUCKETS = 1024
+CLOSING = 2
 
 
 def targets(sizes: DataFrame, weights=WEIGHTS, most: float = MOST) -> DataFrame:
@@ -143,25 +144,30 @@ def plan(docs: DataFrame, weights=WEIGHTS, most: float = MOST) -> DataFrame:
     rest = rows.where(~at_cut).withColumn("upto", F.lit(None).cast("long")).withColumn("taken_more", below)
     drawn = stored(at.unionByName(rest), "mix-drawn")
 
-    # the closing document of each source: nearest to what is still missing
-    used = drawn.groupBy("source").agg(
-        (F.first("target") - F.sum(F.when(F.col("taken_more"), F.col("size")).otherwise(F.lit(0))
-                                   + F.col("whole") * F.col("size"))).alias("gap"))
-    used = used.select(F.col("source").alias("s"), "gap")
-    free = drawn.where(F.col("rank").isNotNull() & ~F.col("taken_more"))
-    miss = F.abs(F.col("gap") - F.col("size"))
-    close = (free.join(used, _same(F.col("source"), F.col("s"))).where(miss < F.col("gap"))
-             .groupBy("source").agg(F.min(F.struct(miss.alias("miss"), *order)).alias("m"))
-             .select(F.col("source").alias("s"), *(F.col("m")[c].alias(f"m_{c}") for c in order)))
-    drawn = drawn.join(close, _same(F.col("source"), F.col("s")), "left")
-    closing = F.coalesce(F.lit(True) & _same(F.col("doc_id"), F.col("m_doc_id"))
-                         & (F.col("digest") == F.col("m_digest"))
-                         & (F.col("occurrence") == F.col("m_occurrence")), F.lit(False))
-    copies = F.col("whole") + F.when(F.col("taken_more") | closing, F.lit(1)).otherwise(F.lit(0))
+    for _ in range(CLOSING):
+        drawn = _closer(drawn, order)
+    copies = F.col("whole") + F.when(F.col("taken_more"), F.lit(1)).otherwise(F.lit(0))
     return drawn.select("doc_id", "source", "digest", "occurrence", "size",
                         F.col("words").alias("source_size"), "target", copies.cast("long").alias("copies"))
 
 
+def _closer(drawn: DataFrame, order: list[str]) -> DataFrame:
+    """Turn the one document of each source - undrawn to drawn, or back - that
+    brings the source's words nearest to its target, if any brings them nearer."""
+    words = F.when(F.col("taken_more"), F.col("size")).otherwise(F.lit(0)) + F.col("whole") * F.col("size")
+    gap = drawn.groupBy("source").agg((F.first("target") - F.sum(words)).alias("gap")).select(
+        F.col("source").alias("s"), "gap")
+    miss = F.abs(F.col("gap") + F.when(F.col("taken_more"), F.col("size")).otherwise(-F.col("size")))
+    turn = (drawn.where(F.col("rank").isNotNull()).join(gap, _same(F.col("source"), F.col("s")))
+            .where(miss < F.abs("gap"))
+            .groupBy("source").agg(F.min(F.struct(miss.alias("miss"), *order)).alias("m"))
+            .select(F.col("source").alias("s"), *(F.col("m")[c].alias(f"m_{c}") for c in order)))
+    both = drawn.join(turn, _same(F.col("source"), F.col("s")), "left")
+    turned = F.coalesce(_same(F.col("doc_id"), F.col("m_doc_id")) & (F.col("digest") == F.col("m_digest"))
+                        & (F.col("occurrence") == F.col("m_occurrence")), F.lit(False))
+    return stored(both.withColumn("taken_more", F.col("taken_more") != turned).select(*drawn.columns), "mix-closer")
+
+
 def taken(docs: DataFrame, weights=WEIGHTS, most: float = MOST) -> DataFrame:
     p = plan(docs, weights, most)
     return p.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))

@@ -48,6 +48,19 @@ def draw(*key: str) -> str:
     return f"((('0x' || substr(md5({text}), 1, 13))::BIGINT)::DOUBLE + 0.5) / 4503599627370496.0"
 
 
+def _closer(k: int, table: str) -> str:
+    """Turn the one document per source that brings its words nearest the target."""
+    return f"""
+g{k} AS (SELECT source, any_value(target) - sum((whole + more::INT) * size) AS gap FROM {table} GROUP BY source),
+h{k} AS (SELECT t.source, doc_id, digest, occurrence, row_number() OVER (
+             PARTITION BY t.source ORDER BY abs(gap + CASE WHEN more THEN size ELSE -size END), rank, doc_id, digest, occurrence) AS rn
+         FROM {table} t JOIN g{k} g ON t.source IS NOT DISTINCT FROM g.source
+         WHERE rank IS NOT NULL AND abs(gap + CASE WHEN more THEN size ELSE -size END) < abs(gap)),
+c{k} AS (SELECT t.* EXCLUDE (more), more <> (h.rn IS NOT NULL) AS more
+         FROM {table} t LEFT JOIN h{k} h ON h.rn = 1 AND t.source IS NOT DISTINCT FROM h.source
+              AND t.doc_id IS NOT DISTINCT FROM h.doc_id AND t.digest = h.digest AND t.occurrence = h.occurrence)"""
+
+
 def _ctes_mixing(table: str) -> str:
     """CTEs m0..m9; the last has rows (doc_id, source, digest, occurrence, size,
     source_size, target, copies)."""
@@ -83,15 +96,10 @@ m7b AS (SELECT *, target - sum(whole * size) OVER (PARTITION BY source) AS room,
                sum(size) OVER (PARTITION BY source ORDER BY rank NULLS LAST, doc_id, digest, occurrence
                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM m7),
 m8 AS (SELECT *, rank IS NOT NULL AND upto <= room AS more FROM m7b),
-g1 AS (SELECT source, any_value(target) - sum(whole * size + CASE WHEN more THEN size ELSE 0 END) AS gap FROM m8 GROUP BY source),
-g2 AS (SELECT m8.source, doc_id, digest, occurrence,
-              row_number() OVER (PARTITION BY m8.source ORDER BY abs(gap - size), rank, doc_id, digest, occurrence) AS rn
-       FROM m8 JOIN g1 ON m8.source IS NOT DISTINCT FROM g1.source
-       WHERE rank IS NOT NULL AND NOT more AND abs(gap - size) < gap),
-m9 AS (SELECT m8.doc_id, m8.source, m8.digest, m8.occurrence, size, words AS source_size, target,
-              (whole + CASE WHEN more OR g2.rn IS NOT NULL THEN 1 ELSE 0 END)::BIGINT AS copies
-       FROM m8 LEFT JOIN g2 ON g2.rn = 1 AND m8.source IS NOT DISTINCT FROM g2.source
-            AND m8.doc_id IS NOT DISTINCT FROM g2.doc_id AND m8.digest = g2.digest AND m8.occurrence = g2.occurrence)"""
+{_closer(1, 'm8')},
+{_closer(2, 'c1')},
+m9 AS (SELECT doc_id, source, digest, occurrence, size, words AS source_size, target,
+              (whole + more::INT)::BIGINT AS copies FROM c2)"""
 
 
 OP3 = f"""WITH {_ctes_mixing('documents')}
