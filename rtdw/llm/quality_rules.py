@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rtdw.llm.common import GAP, WORD, columns_of, fresh, let, text_of
+from rtdw.llm.common import WORD, let, text_of, words_of
 
 SYMBOLS = r"[#*$%&|<>]+"
 WINDOW = 5
@@ -92,28 +92,26 @@ def _covered(win: Column) -> Column:
     return F.when(F.size(F.array_distinct(win)) == F.size(win), F.lit(0)).otherwise(width).cast("long")
 
 
-def measured(docs: DataFrame, text_col: str = "text", into: str = "_quality") -> DataFrame:
-    """Add one struct column ``into`` with every figure of a document."""
-    t, w, h, win = (f"{into}_{x}" for x in ("text", "words", "hash", "win"))
-    base = docs.withColumn(t, text_of(docs, text_col)).withColumn(w, F.array_remove(F.split(F.col(t), GAP, -1), ""))
-    base = base.withColumn(h, triple_hashes(F.col(w)))
-    base = base.withColumn(win, window_hashes(F.col(h)))
-    n = F.size(F.col(h))
-    text = F.col(t)
-    lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(WORD))
-    chars = F.length(F.array_join(F.col(w), "")).cast("long")
-    figures = F.struct(
-        n.cast("long").alias("n_words"),
-        chars.alias("word_chars"),
-        _count_of(text, SYMBOLS).alias("n_symbols"),
-        let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-        _covered(F.col(win)).alias("n_repeat_words"),
-        F.size(lines).cast("long").alias("n_lines"),
-        F.size(F.filter(F.col(w), lambda x: x.isin(*STOP_WORDS))).cast("long").alias("n_stop_words"),
-        (F.length(text) - F.length(F.replace(text, F.lit("!"), F.lit("")))).cast("long").alias("n_exclamations"),
-        _count_of(text, r"\p{Lu}+").alias("n_upper"),
-    )
-    return base.withColumn(into, figures).drop(t, w, h, win)
+def figures(text: Column) -> Column:
+    """Every figure of a text as one struct. Each intermediate array is bound once,
+    so that Spark may move the expression (into a filter, say) as it likes."""
+    def of(t, w, win):
+        lines = F.filter(F.split(t, "\n", -1), lambda x: x.rlike(WORD))
+        each = let(lines, lambda x: F.struct(F.size(x).alias("all"), F.size(F.array_distinct(x)).alias("distinct")))
+        return let(each, lambda k: F.struct(
+            F.size(w).cast("long").alias("n_words"),
+            F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
+            _count_of(t, SYMBOLS).alias("n_symbols"),
+            (k["all"] - k["distinct"]).cast("long").alias("n_dup_lines"),
+            _covered(win).alias("n_repeat_words"),
+            k["all"].cast("long").alias("n_lines"),
+            F.size(F.filter(w, lambda x: x.isin(*STOP_WORDS))).cast("long").alias("n_stop_words"),
+            (F.length(t) - F.length(F.replace(t, F.lit("!"), F.lit("")))).cast("long").alias("n_exclamations"),
+            _count_of(t, r"\p{Lu}+").alias("n_upper"),
+        ))
+
+    return let(text, lambda t: let(words_of(t), lambda w: let(triple_hashes(w), lambda h: let(
+        window_hashes(h), lambda win: of(t, w, win)))))
 
 
 def ratios(m: Column) -> dict[str, Column]:
@@ -136,25 +134,26 @@ def base_failed(m: Column) -> Column:
 def compiled(m: Column, thresholds=THRESHOLDS) -> Column:
     """The whole table as one boolean expression (true: every bound kept)."""
     r = ratios(m)
-    verdict = F.lit(True)
+    passed = F.lit(True)
     for t in thresholds:
         for bound in ((r[t.figure] >= t.low) if t.low is not None else None,
                       (r[t.figure] <= t.high) if t.high is not None else None):
             if bound is not None:
-                verdict = verdict & ((m["n_words"] < t.min_words) | F.coalesce(bound, F.lit(True)))
-    return verdict
+                passed = passed & ((m["n_words"] < t.min_words) | F.coalesce(bound, F.lit(True)))
+    return passed
+
+
+def verdict(m: Column, thresholds=THRESHOLDS) -> Column:
+    return ~base_failed(m) & compiled(m, thresholds)
 
 
 def judge(docs: DataFrame, thresholds=THRESHOLDS, text_col: str = "text", into: str = "_quality") -> DataFrame:
     """``docs`` with the struct ``into``: every figure, ``base_failed``, ``kept``."""
-    out = measured(docs, text_col, into)
+    out = docs.withColumn(into, figures(text_of(docs, text_col)))
     m = F.col(into)
-    failed = base_failed(m)
-    return out.withColumn(into, m.withField("base_failed", failed)
-                          .withField("kept", ~failed & compiled(m, thresholds)))
+    return out.withColumn(into, m.withField("base_failed", base_failed(m)).withField("kept", verdict(m, thresholds)))
 
 
 def keep_good(docs: DataFrame, thresholds=THRESHOLDS, text_col: str = "text") -> DataFrame:
     """The pipeline stage: documents that pass, with the input's columns."""
-    into = fresh(docs, "_quality")
-    return judge(docs, thresholds, text_col, into).where(F.col(into)["kept"]).select(*columns_of(docs))
+    return docs.where(let(figures(text_of(docs, text_col)), lambda m: verdict(m, thresholds)))
