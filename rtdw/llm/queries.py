@@ -50,12 +50,26 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         spans_text(zipped).alias("spans"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rtdw.llm import decontaminate
+
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontaminate.contaminated(documents(spark, sf_dir), benchmark)
+    return found.drop("text_key")
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rtdw.llm import sharding
 
     return sharding.shard_plan(documents(spark, sf_dir))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rtdw.llm import lm_scoring
+
+    return lm_scoring.score(documents(spark, sf_dir))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rtdw.llm import quality_rules as rules
 
@@ -70,6 +84,8 @@ LLM_QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_mixing": op3_mixing,
     "op5_secrets": op5_secrets,
+    "op6_decontamination": op6_decontamination,
     "op8_sharding": op8_sharding,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_quality_rules": op10_quality_rules,
 }
