@@ -38,6 +38,19 @@ def spans_text(found, kinds=None):
         ":", x["kinds"], x["starts"].cast("string"), x["ends"].cast("string"))), ",")
 
 
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rtdw.llm import personal_data as pii
+
+    found = pii.find(documents(spark, sf_dir))
+    names = F.array(*(F.lit(k) for k in pii.KINDS))
+    joined = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(
+        ":", F.element_at(names, x["rank"] + 1), x["start"].cast("string"), x["end"].cast("string"))), ",")
+    count = lambda rank: F.size(F.filter(F.col("base"), lambda x: x["rank"] == rank)).cast("long")
+    return found.select("doc_id", *(count(r).alias(f"n_{k}") for r, k in enumerate(pii.KINDS)),
+                        F.sha2(joined(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+                        joined(F.col("spans")).alias("spans"))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rtdw.llm import secrets
 
@@ -58,6 +71,12 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("text_key")
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rtdw.llm import pu_quality
+
+    return pu_quality.score(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rtdw.llm import sharding
 
@@ -83,8 +102,10 @@ LLM_QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_mixing": op3_mixing,
+    "op4_personal_data": op4_personal_data,
     "op5_secrets": op5_secrets,
     "op6_decontamination": op6_decontamination,
+    "op7_quality": op7_quality,
     "op8_sharding": op8_sharding,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_quality_rules": op10_quality_rules,
