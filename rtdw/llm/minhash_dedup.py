@@ -36,11 +36,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rtdw.llm import sketch
-from rtdw.llm.common import stored
+from rtdw.llm.common import columns_of, fresh, stored, text_of
 from rtdw.llm.components import components
 from rtdw.llm.wordhash import SEEDS, U, Words, mixed
 
@@ -213,3 +213,15 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     return rows.select(
         F.when(~null_id, F.col("id")).alias("doc_id"), "n_shingles",
         F.when(~null_id, component).alias("component_id"), (null_id | (component == F.col("id"))).alias("kept"))
+
+
+def keep_one(docs: DataFrame, percent: int = 75) -> DataFrame:
+    """The pipeline stage: one document of each group stays, with the input's
+    columns; of rows that repeat both id and text, one. Rows without an id stay."""
+    key, number = fresh(docs, "_text_key"), fresh(docs, "_number")
+    dropped = near_duplicates(docs, percent).where("NOT kept").select(F.col("doc_id").alias(f"{key}_dropped")).distinct()
+    left = docs.join(dropped, docs["doc_id"] == F.col(f"{key}_dropped"), "left_anti")
+    # partitioned like the join: no further exchange of the texts
+    left = left.withColumn(key, F.xxhash64(text_of(left)))
+    left = left.withColumn(number, F.row_number().over(Window.partitionBy("doc_id", key).orderBy(F.lit(1))))
+    return left.where(F.col("doc_id").isNull() | (F.col(number) == 1)).drop(key, number).select(*columns_of(docs))

@@ -98,6 +98,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         m["kept"].alias("kept"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 LLM_QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_substring_dedup": op2_substring_dedup,
@@ -109,4 +115,5 @@ LLM_QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_quality_rules": op10_quality_rules,
+    "pipeline": pipeline,
 }
