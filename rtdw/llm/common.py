@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +24,21 @@ def prepare(spark: SparkSession) -> None:
     that a batch of very long texts still fits a Python worker."""
     ensure_checkpoint_dir(spark)
     ship_package(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
+
+
+def pieces(batches: Iterator[pa.RecordBatch], column: int, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches again, cut so that a piece holds about ``most`` bytes of text
+    (one row at least): numpy works on several times that in 8-byte numbers."""
+    for b in batches:
+        length = pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False)
+        at = 0
+        upto = np.cumsum(length)
+        while at < b.num_rows:
+            done = upto[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(upto, done + most, side="right")))
+            yield b.slice(at, end - at)
+            at = end
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rtdw.llm.common import stored
+from rtdw.llm.common import pieces, stored
 from rtdw.llm.wordhash import U, mixed
 
 MODULUS, HELD_OUT = 7, 2
@@ -134,7 +134,7 @@ def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         u, at = np.unique(g, return_inverse=True)
         return u, np.bincount(at, weights=n).astype(np.int64)
 
-    for b in batches:
+    for b in pieces(batches, 0, 1 << 21):
         texts, parts = _texts(b.column(0)), b.column(1).to_numpy(zero_copy_only=False)
         for part in (0, 1):
             g, _ = _grams([t for t, p in zip(texts, parts) if p == part])
@@ -349,7 +349,7 @@ class Lookup:
 def _score(shared, w, refined, frequent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, lookup = frequent.value, Lookup(shared.value, w, refined)
-        for b in batches:
+        for b in pieces(batches, 2):
             texts = _texts(b.column(2))
             gram, lengths = _grams(texts)
             ends = np.cumsum(lengths)

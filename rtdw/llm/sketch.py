@@ -19,14 +19,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rtdw.llm.common import stored
+from rtdw.llm.common import pieces, stored
 from rtdw.llm.wordhash import SEEDS, U, mixed
 
 BITS = 27
 DEPTH = 2
 BLOCK_BITS = 22
 SALTS = 16
-HELD = 4_000_000
+HELD = 2_000_000
 SCHEMA = "block int, once binary, more binary"
 
 
@@ -42,7 +42,7 @@ def _unpack(data: bytes) -> np.ndarray:
     return np.cumsum(np.frombuffer(zlib.decompress(data), np.uint32).astype(np.int64)) if data else np.empty(0, np.int64)
 
 
-def _task(keys: Callable[[pa.RecordBatch], np.ndarray], depth: int, bits: int):
+def _task(keys: Callable[[pa.RecordBatch], np.ndarray], depth: int, bits: int, text: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[np.ndarray] = []
 
@@ -61,7 +61,7 @@ def _task(keys: Callable[[pa.RecordBatch], np.ndarray], depth: int, bits: int):
                 ["block", "once", "more"])
 
         held = 0
-        for b in batches:
+        for b in batches if text is None else pieces(batches, text):
             for c in cells_of(keys(b), depth, bits):
                 parts.append(c)
                 held += len(c)
@@ -89,9 +89,11 @@ def _merge_salted(pdf):
     return _merge(pdf[["block", "once", "more"]])
 
 
-def build(df: DataFrame, keys: Callable[[pa.RecordBatch], np.ndarray], depth: int = DEPTH, bits: int = BITS) -> DataFrame:
-    """Count the keys (uint64) that ``keys`` reads from each batch of ``df``."""
-    parts = df.mapInArrow(_task(keys, depth, bits), SCHEMA)
+def build(df: DataFrame, keys: Callable[[pa.RecordBatch], np.ndarray], text: int | None = None,
+          depth: int = DEPTH, bits: int = BITS) -> DataFrame:
+    """Count the keys (uint64) that ``keys`` reads from each batch of ``df``; batches
+    with texts in column ``text`` are cut to a bounded number of bytes."""
+    parts = df.mapInArrow(_task(keys, depth, bits, text), SCHEMA)
     salted = parts.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
     level1 = salted.groupBy("block", "salt").applyInPandas(_merge_salted, SCHEMA)
     return stored(level1.groupBy("block").applyInPandas(_merge, SCHEMA), "sketch")

@@ -7,7 +7,7 @@ so the sketch's count of a window's minimizer is never below the window's own
 count: the estimate errs upwards only, with a sixth of the cells.
 
 Pass 2 hashes the windows again and emits those estimated repeated; they are
-grouped exactly (128-bit window hashes): the earliest start of each window by a
+grouped exactly (96-bit window hashes): the earliest start of each window by a
 partially aggregated minimum, every other start is a repeat. None is lost.
 
 Texts estimated to share their whole word sequence with another are split off
@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rtdw.llm import sketch
-from rtdw.llm.common import stored
+from rtdw.llm.common import pieces, stored, words_of
 from rtdw.llm.wordhash import SEEDS, U, Words, mixed
 
 WINDOW = 20
@@ -87,7 +87,7 @@ def _keys(size: int):
 def _windows(size: int, bits_of, skip_shared: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = bits_of.value
-        for b in batches:
+        for b in pieces(batches, 1):
             w = Words(_texts(b.column(1)))
             h = w.hashes(SEEDS[0])
             at, low, _ = _minimizers(w, h, size)
@@ -97,16 +97,16 @@ def _windows(size: int, bits_of, skip_shared: bool):
                 ok &= ~sketch.test(bits, _whole(w, h))[doc]
             at, doc = at[ok], doc[ok]
             one = w.runs(h, size, SEEDS[0])[at]
-            two = w.runs(w.hashes(SEEDS[1]), size, SEEDS[1])[at]
+            two = w.runs(w.hashes(SEEDS[1]), size, SEEDS[1])[at] >> U(32)
             yield pa.RecordBatch.from_arrays([
-                pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), b.column(0).take(pa.array(doc)),
+                pa.array(one.view(np.int64)), pa.array(two.astype(np.uint32).view(np.int32)), b.column(0).take(pa.array(doc)),
                 pa.array((at - w.first[doc]).astype(np.int32))], ["h1", "h2", "id", "start"])
     return run
 
 
 def _shared(bits_of):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in pieces(batches, 1):
             w = Words(_texts(b.column(1)))
             hit = sketch.test(bits_of.value, _whole(w, w.hashes(SEEDS[0])))
             some = b.filter(pa.array(hit))
@@ -121,7 +121,7 @@ def _shared(bits_of):
 def _flagged(bits_of, ids_of, flagged: bool):
     """Texts of their own whose id may have repeated starts, or all others."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in pieces(batches, 1):
             w = Words(_texts(b.column(1)))
             ids = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
             hit = sketch.test(ids_of.value, mixed(ids))
@@ -172,7 +172,7 @@ def dedup(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     that stay, joined by one space)."""
     context = docs.sparkSession.sparkContext
     slim = docs.select(_id(docs).alias("id"), docs["text"].cast("string").alias("text"))
-    bits = context.broadcast(sketch.bit_array(sketch.build(slim, _keys(size)), 2))
+    bits = context.broadcast(sketch.bit_array(sketch.build(slim, _keys(size), text=1), 2))
 
     # texts that may be copies: classed exactly by their whole word sequence
     copies = stored(slim.mapInArrow(_shared(bits), "id long, text string, n_words long, whole string"),
@@ -185,12 +185,12 @@ def dedup(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     later = later.select(
         "id", "n_words", F.when(gone, F.col("n_words")).otherwise(F.lit(0)).cast("long").alias("n_removed"),
         F.when(gone, F.lit(hashlib.sha256(b"").hexdigest())).otherwise(F.col("whole")).alias("kept_sha256"),
-        F.when(gone, F.lit("")).otherwise(F.array_join(F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), ""), " "))
-        .alias("kept_text"))
+        F.when(gone, F.lit("")).otherwise(F.array_join(words_of(F.coalesce("text", F.lit(""))), " ")).alias("kept_text"))
 
-    rows = "h1 long, h2 long, id long, start int"
-    windows = stored(slim.mapInArrow(_windows(size, bits, True), rows).unionByName(
-        firsts.mapInArrow(_windows(size, bits, False), rows)), "substring-windows")
+    rows = "h1 long, h2 int, id long, start int"
+    # not stored: hashing again is cheaper than a table of random hashes
+    windows = slim.mapInArrow(_windows(size, bits, True), rows).unionByName(
+        firsts.mapInArrow(_windows(size, bits, False), rows))
     earliest = windows.groupBy("h1", "h2").agg(
         F.min(F.struct("id", "start")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     repeats = windows.join(earliest, ["h1", "h2"]).where(F.struct("id", "start") > F.col("first"))
