@@ -1,11 +1,11 @@
 """MinHash near-dedup with odd sketches.
 
 Signature: a text's set of 5-word shingles (64-bit hashes) gives ``SAMPLES``
-MinHash samples. They are cut into ``BANDS`` bands for candidates, and folded into
-an odd sketch: every (sample number, sample) toggles one of ``ODD_BITS`` bits. The
+MinHash samples. The first 128 are cut into ``BANDS`` bands for candidates, and all are
+folded into an odd sketch: every (sample number, sample) toggles one of ``ODD_BITS`` bits. The
 XOR of two sketches keeps only the samples in which they differ, so its population
 count estimates the similarity, precisely where that is high. Candidates
-whose estimate stays below the threshold by more than four deviations are dropped,
+whose estimate stays below the threshold by more than 3.5 deviations are dropped,
 the others are confirmed on full shingle sets.
 
 Texts of equal sets are one class from the start (its least doc_id stands for it),
@@ -40,29 +40,29 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rtdw.llm import sketch
-from rtdw.llm.common import columns_of, fresh, stored, text_of
+from rtdw.llm.common import columns_of, fresh, pieces, stored, text_of
 from rtdw.llm.components import components
 from rtdw.llm.wordhash import SEEDS, U, Words, mixed
 
 SHINGLE = 5
-SAMPLES = 128
-BANDS = 32
-ODD_BITS = 512
+SAMPLES = 512
+BANDS, BAND_ROWS = 32, 4          # of the first 128 samples
+ODD_BITS = 2048
 LAST = (1 << 63) - 1
 
 _A = (mixed(np.arange(1, SAMPLES + 1, dtype=np.uint64) * U(SEEDS[0])) >> U(32)).astype(np.uint32) | np.uint32(1)
 _B = (mixed(np.arange(1, SAMPLES + 1, dtype=np.uint64) * U(SEEDS[1])) >> U(32)).astype(np.uint32)
 
 
-def odd_limit(similarity: float = 0.75, deviations: float = 4.0) -> int:
+def odd_limit(similarity: float = 0.75, deviations: float = 3.5) -> int:
     """Largest XOR population count still taken for a link. At similarity s the
     samples differ in K(1-s) places, each toggling two bits; the bound adds the
     deviations of the sampling and of the folding."""
     differ, spread = 2 * SAMPLES * (1 - similarity), 2 * (SAMPLES * similarity * (1 - similarity)) ** 0.5
     shrink = (1 - 2 / ODD_BITS) ** differ
     mean = ODD_BITS / 2 * (1 - shrink)
-    folding = (ODD_BITS / 4 * (1 - shrink ** 2)) ** 0.5
-    return int(np.ceil(mean + deviations * ((spread * shrink) ** 2 + folding ** 2) ** 0.5))
+    folding = ODD_BITS / 4 * (1 - shrink ** 2) - differ * shrink ** 2
+    return int(np.ceil(mean + deviations * ((spread * shrink) ** 2 + folding) ** 0.5))
 
 
 def _texts(column: pa.Array) -> list[bytes]:
@@ -88,8 +88,8 @@ def _sets(texts: list[bytes]) -> list[np.ndarray]:
 def _samples(s: np.ndarray) -> np.ndarray:
     low = (s >> U(32)).astype(np.uint32)
     out = np.full(SAMPLES, 0xFFFFFFFF, np.uint32)
-    for i in range(0, len(low), 4096):
-        np.minimum(out, (low[i:i + 4096, None] * _A + _B).min(axis=0), out=out)
+    for i in range(0, len(low), 1024):
+        np.minimum(out, (low[i:i + 1024, None] * _A + _B).min(axis=0), out=out)
     return out
 
 
@@ -100,18 +100,18 @@ def _lists(rows: np.ndarray) -> pa.Array:
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows = SAMPLES // BANDS
-    for b in batches:
+    shift = U(64 - (ODD_BITS - 1).bit_length())
+    for b in pieces(batches, 1):
         sets = _sets(_texts(b.column(1)))
         n = len(sets)
         m = np.array([_samples(s) for s in sets], np.uint32).reshape(n, SAMPLES)
         tagged = mixed((np.arange(SAMPLES, dtype=np.uint64) << U(32)) | m.astype(np.uint64))
-        parity = np.zeros((n, ODD_BITS), np.uint8)
-        np.add.at(parity, (np.arange(n)[:, None], (tagged >> U(55)).astype(np.int64) % ODD_BITS), 1)
+        place = (tagged >> shift).astype(np.int64) + np.arange(n)[:, None] * ODD_BITS
+        parity = np.bincount(place.reshape(-1), minlength=n * ODD_BITS).astype(np.uint8).reshape(n, ODD_BITS)
         odd = np.packbits(parity & 1, axis=1).view(np.uint64).reshape(n, ODD_BITS // 64)
-        bands = tagged.reshape(n, BANDS, rows)
+        bands = tagged[:, :BANDS * BAND_ROWS].reshape(n, BANDS, BAND_ROWS)
         key = bands[:, :, 0]
-        for r in range(1, rows):
+        for r in range(1, BAND_ROWS):
             key = mixed(key * U(SEEDS[0]) + bands[:, :, r])
         yield pa.RecordBatch.from_arrays([
             b.column(0), pa.array([len(s) for s in sets], pa.int64()),
@@ -123,7 +123,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _set_rows(wanted):
     """(id, set) for documents whose id may stand in a candidate pair."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in pieces(batches, 1):
             ids = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
             some = b.filter(pa.array(sketch.test(wanted.value, mixed(ids))))
             sets = _sets(_texts(some.column(1)))
@@ -155,6 +155,20 @@ def _difference(p: str, q: str) -> Column:
     return total
 
 
+def _sizes_fit(p: str, q: str, percent: int) -> Column:
+    """Sets of very different sizes cannot reach the similarity."""
+    return 100 * F.least(p, q) >= percent * F.greatest(p, q)
+
+
+def _first_common(p: str, q: str) -> Column:
+    """The first band in which two classes agree (in 31 bits of the keys; a
+    chance agreement there is as likely as 2**-31): a pair is formed in that one."""
+    out = F.lit(BANDS)
+    for i in range(BANDS - 1, -1, -1):
+        out = F.when(F.col(p)[i] == F.col(q)[i], F.lit(i)).otherwise(out)
+    return out
+
+
 def confirmed(slim: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full shingle sets reach ``percent``."""
     ids = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct()
@@ -178,12 +192,14 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
         F.min("id").alias("rep"), F.first("bands").alias("bands"), F.first("odd").alias("odd")), "minhash-classes")
 
     limit = odd_limit(percent / 100)
-    keys = classes.select("rep", F.explode("bands").alias("key"))
+    keys = classes.select("rep", F.posexplode("bands").alias("band", "key"))
     buckets = keys.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("other")).where("hub <> other")
     buckets = stored(buckets.select("key", "hub"), "minhash-buckets")
     met = keys.join(buckets, "key").where("rep <> hub").select("rep", "hub").distinct()
-    odd = classes.groupBy("rep").agg(F.first("odd").alias("odd"))
-    near = (met.join(odd, "rep").join(odd.select(F.col("rep").alias("hub"), F.col("odd").alias("hub_odd")), "hub")
+    odd = classes.groupBy("rep").agg(F.first("odd").alias("odd"), F.first("n_shingles").alias("size"),
+                                     F.first(F.transform("bands", lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF).cast("long")).cast("int"))).alias("low"))
+    hubs = odd.select(F.col("rep").alias("hub"), F.col("odd").alias("hub_odd"), F.col("size").alias("hub_size"))
+    near = (met.join(odd.drop("low"), "rep").join(hubs, "hub").where(_sizes_fit("size", "hub_size", percent))
             .withColumn("differ", _difference("odd", "hub_odd")).where(F.col("differ") <= limit))
     best = near.groupBy("rep").agg(F.min(F.struct("differ", "hub")).alias("m"))
     first = stored(best.select(F.col("m")["hub"].alias("a"), F.col("rep").alias("b")), "minhash-hubs")
@@ -192,13 +208,16 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     # what the hubs leave apart: bucket mates of different components
     label = components(links, "a", "b")
     marked = (keys.join(buckets.select("key"), "key").join(label, F.col("rep") == F.col("node"), "left")
-              .select("key", "rep", F.coalesce("component", "rep").alias("component")))
+              .select("band", "key", "rep", F.coalesce("component", "rep").alias("component")))
     mixed_up = marked.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
     open_ = stored(marked.join(mixed_up.select("key"), "key").join(odd, "rep"), "minhash-open")
-    x = open_.select("key", F.col("rep").alias("a"), F.col("component").alias("ca"), F.col("odd").alias("oa"))
-    y = open_.select("key", F.col("rep").alias("b"), F.col("component").alias("cb"), F.col("odd").alias("ob"))
+    x = open_.select("band", "key", F.col("rep").alias("a"), F.col("low").alias("la"), F.col("component").alias("ca"), F.col("odd").alias("oa"),
+                     F.col("size").alias("na"))
+    y = open_.select("key", F.col("rep").alias("b"), F.col("low").alias("lb"), F.col("component").alias("cb"), F.col("odd").alias("ob"),
+                     F.col("size").alias("nb"))
     across = x.join(y, "key").where(
-        (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & (_difference("oa", "ob") <= limit))
+        (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _sizes_fit("na", "nb", percent)
+        & (_first_common("la", "lb") == F.col("band")) & (_difference("oa", "ob") <= limit))
     second = stored(across.select("a", "b").distinct(), "minhash-across")
     more = confirmed(slim, second.join(first, ["a", "b"], "left_anti"), percent)
 
