@@ -227,8 +227,10 @@ def fact_order_refund(cdc: DataFrame) -> DataFrame:
         *[F.col(f"ri.{c}").alias(c) for c in ("id", "user_id", "order_id", "sku_id")],
         F.col("oi.province_id").alias("province_id"),
         ms_string_to_date(F.col("ri.create_time")).alias("date_id"),
-        *[F.col(f"ri.{c}").alias(c) for c in ("create_time", "refund_type", "refund_reason_type",
-                                              "refund_reason_txt", "refund_num", "refund_amount",
+        F.col("ri.create_time").alias("create_time"),
+        F.col("ri.refund_type").alias("refund_type_code"),
+        F.col("ri.refund_reason_type").alias("refund_reason_type_code"),
+        *[F.col(f"ri.{c}").alias(c) for c in ("refund_reason_txt", "refund_num", "refund_amount",
                                               "ts_ms")])
 
 
@@ -245,11 +247,11 @@ def fact_refund_pay_success(cdc: DataFrame) -> DataFrame:
         F.col("rp.id").alias("id"), F.col("oi.user_id").alias("user_id"),
         F.col("rp.order_id").alias("order_id"), F.col("rp.sku_id").alias("sku_id"),
         F.col("oi.province_id").alias("province_id"),
-        F.col("rp.payment_type").alias("payment_type"),
+        F.col("rp.payment_type").alias("payment_type_code"),
         ms_string_to_date(F.col("rp.callback_time")).alias("date_id"),
         F.col("rp.callback_time").alias("callback_time"),
         F.col("ori.refund_num").alias("refund_num"),
-        F.col("rp.total_amount").alias("total_amount"),
+        F.col("rp.total_amount").alias("refund_amount"),
         F.col("rp.ts_ms").alias("ts_ms"))
 
 

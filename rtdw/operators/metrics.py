@@ -3,7 +3,7 @@
 Each function takes an already-bound input (flat page log, cart facts, order
 facts) and returns the metric rows with the reference's snake_case field
 names. Window length and event-time column are parameters: the job presets in
-``plans.jobs`` reproduce the reference's choices (including the scaled-time
+``plans.queries`` reproduce the reference's choices (including the scaled-time
 2 ms / 4 ms windows, trap X3).
 
 Aggregations are all declarative (`sum`, `count`, `count_distinct`), so
@@ -20,6 +20,9 @@ from ..functions.timefn import empty, tumbling, window_labels
 from . import dedupe
 from .dims import lookup_dim
 
+# PRJ30: fact topics carry amounts as strings; they are decimals from here on
+MONEY = "decimal(16,2)"
+
 PAGE_DIMS = ["vc", "ch", "ar", "is_new"]
 
 
@@ -108,7 +111,7 @@ def province_order_window(orders: DataFrame, provinces: DataFrame | None = None,
     count and only each id's last row for the amount (see
     ``dedupe.net_replace_rows``)."""
     rows = orders.select("id", "seq", "order_id", "province_id",
-                         F.col("split_total_amount").alias("amount"), time_col)
+                         F.col("split_total_amount").cast(MONEY).alias("amount"), time_col)
     net = dedupe.net_replace_rows(rows, "id", "amount", "seq")
     agg = net.groupBy(tumbling(time_col, length).alias("window"), "province_id").agg(
         F.count_distinct("order_id").alias("order_count"),
@@ -134,7 +137,8 @@ def sku_order_window(orders: DataFrame, length: str = "10 seconds", time_col: st
     latest version. ``time_col`` is the window column: an ingest time in
     production (the reference windows on processing time, X4), event time for
     replays and tests."""
-    rows = orders.select("id", "seq", order_col, "sku_id", time_col, *SKU_MEASURES)
+    rows = orders.select("id", "seq", order_col, "sku_id", time_col,
+                         *[F.col(c).cast(MONEY).alias(c) for c in SKU_MEASURES])
     latest = dedupe.latest_within(rows, "id", order_col, "seq")
     agg = latest.groupBy(tumbling(time_col, length).alias("window"), "sku_id").agg(
         *[F.sum(src).alias(dst) for src, dst in SKU_MEASURES.items()])

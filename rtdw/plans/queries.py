@@ -19,6 +19,7 @@ from ..operators import dedupe, dims, facts, logs, metrics, routing
 from ..streaming import jobs as stream_jobs
 from ..sources import bindings as B
 from ..sources import envelope
+from ..sources.envelope import ORDER_DETAIL_FACT_FIELDS, ORDER_DETAIL_FACT_SCHEMA
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -139,9 +140,7 @@ def cdc_gate(spark, sf_dir):
 
 
 def config_image(spark, sf_dir):
-    cdc = B.topic_db(spark, sf_dir).where(
-        F.col("source")["table"].isin("order_info", "order_detail"))
-    img = envelope.config_image(cdc)
+    img = envelope.config_image(B.topic_db(spark, sf_dir))
     return img.select(F.col("source")["table"].alias("source_table"), "op", "seq",
                       F.col("image")["id"].alias("image_id"),
                       F.col("image")["order_status"].alias("image_status"))
@@ -355,53 +354,85 @@ QUERIES.update({
 # available-now trigger; windows come out once the watermark passes them.
 
 def stream_traffic_vc_ch_ar_is_new(spark, sf_dir):
-    ev = stream_jobs.read_table_stream(spark, sf_dir, "events")
+    ev = stream_jobs.events_replayed(spark, sf_dir)
     return stream_jobs.run_available_now(stream_jobs.traffic_vc_ch_ar_is_new(ev), "traffic")
 
 
+def stream_traffic_home_detail_uv(spark, sf_dir):
+    ev = stream_jobs.events_replayed(spark, sf_dir)
+    return stream_jobs.run_available_now(stream_jobs.traffic_home_detail_uv(ev), "home-detail")
+
+
 def stream_user_login_window(spark, sf_dir):
-    ev = stream_jobs.read_table_stream(spark, sf_dir, "events")
+    ev = stream_jobs.events_replayed(spark, sf_dir)
     return stream_jobs.run_available_now(stream_jobs.user_login_window(ev), "login")
 
 
+def stream_cart_add_uu_window(spark, sf_dir):
+    cart = B.cart_info(spark, sf_dir).select("user_id", "seq", "ts_ms")
+    cart = cart.withColumn("et", F.timestamp_millis("ts_ms"))
+    closing = spark.sql("SELECT timestamp'2200-01-01 00:00:00' AS et").select(
+        F.lit(str(stream_jobs.CLOSING_USER)).cast(cart.schema["user_id"].dataType).alias("user_id"),
+        F.lit(0).cast(cart.schema["seq"].dataType).alias("seq"), F.unix_millis("et").alias("ts_ms"), "et")
+    src = stream_jobs.replayed(spark, cart, "cart", "et", closing)
+    return stream_jobs.run_available_now(stream_jobs.cart_add_uu_window(src), "cart")
+
+
 def stream_is_new_repair(spark, sf_dir):
-    ev = stream_jobs.read_table_stream(spark, sf_dir, "events")
+    ev = stream_jobs.events_replayed(spark, sf_dir)
     out = stream_jobs.run_available_now(stream_jobs.is_new_repair(ev), "is_new")
-    return out.select("seq", "mid", "is_new", "is_new_fixed")
+    return out.where(F.col("mid") != f"mid_{stream_jobs.CLOSING_USER}").select(
+        "seq", "mid", "is_new", "is_new_fixed")
 
 
 def stream_keyword_window(spark, sf_dir):
-    ev = stream_jobs.read_table_stream(spark, sf_dir, "events")
-    docs = B.table(spark, sf_dir, "documents").select("doc_id", "text")
-    pl = B.page_log_from(ev)
-    s = pl.join(docs, pl.seq == docs.doc_id, "left").select(
-        "et", "last_page_id",
-        F.when(F.col("page_id") == "home", "keyword").otherwise("sku_id").alias("item_type"),
-        F.when(F.col("page_id") == "home", F.col("text")).otherwise(F.col("uid")).alias("item"))
-    return stream_jobs.run_available_now(stream_jobs.keyword_window(s), "keyword")
+    pl = B.page_log_from(stream_jobs.events_replayed(spark, sf_dir))
+    search = B.search_log_from(pl, B.table(spark, sf_dir, "documents"), B.table(spark, sf_dir, "events").count())
+    return stream_jobs.run_available_now(stream_jobs.keyword_window(search), "keyword")
+
+
+def stream_province_order_window(spark, sf_dir):
+    """ST6 over several batches: the order fact (derived from the tables) replayed
+    in arrival order, so that replaced rows come in later batches too."""
+    of = B.order_fact(spark, sf_dir).select(
+        "id", "seq", "order_id", "province_id", "split_total_amount", "et", "ts_ms")
+    src = stream_jobs.replayed(spark, of, "order-fact", "et", of.limit(0))
+    out = stream_jobs.province_order_window(src, B.dim_base_province(spark, sf_dir))
+    return _money(out, ["order_amount"])
 
 
 QUERIES.update({
     "stream_traffic_vc_ch_ar_is_new": stream_traffic_vc_ch_ar_is_new,
+    "stream_traffic_home_detail_uv": stream_traffic_home_detail_uv,
     "stream_user_login_window": stream_user_login_window,
+    "stream_cart_add_uu_window": stream_cart_add_uu_window,
     "stream_is_new_repair": stream_is_new_repair,
     "stream_keyword_window": stream_keyword_window,
+    "stream_province_order_window": stream_province_order_window,
 })
 
 
-def stream_province_order_window(spark, sf_dir):
-    """ST6 in keyed state: the order fact is written once (batch, derived from
-    the tables) into the shared folder and replayed as a file stream."""
-    import uuid
-    from ..session import state_dir
-    path = state_dir(spark, f"order-fact-{uuid.uuid4().hex[:8]}")
-    B.order_fact(spark, sf_dir).select(
-        "id", "seq", "order_id", "province_id", "split_total_amount", "et", "ts_ms") \
-        .write.parquet(path)
-    src = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
-    out = stream_jobs.run_available_now(
-        stream_jobs.province_order_window(src, B.dim_base_province(spark, sf_dir)), "province")
+# ------------------------------------------------- facts re-read from text --
+
+def _fact_from_json(spark, sf_dir):
+    """SRC5/PRJ30: the order fact written as JSON text (amounts as strings) and
+    read back through the fact topic's schema."""
+    of = B.order_fact(spark, sf_dir)
+    names = set(ORDER_DETAIL_FACT_FIELDS) & set(of.columns)
+    text = of.select("seq", F.to_json(F.struct(
+        *[F.col(c).cast("string").alias(c) for c in sorted(names)], "ts_ms")).alias("value"))
+    fact = text.select("seq", F.from_json("value", ORDER_DETAIL_FACT_SCHEMA, {"mode": "FAILFAST"}).alias("j"))
+    return fact.select("seq", "j.*").withColumn("et", F.timestamp_millis("ts_ms"))
+
+
+def province_order_from_fact(spark, sf_dir):
+    out = metrics.province_order_window(_fact_from_json(spark, sf_dir), B.dim_base_province(spark, sf_dir), "4 seconds")
     return _money(out, ["order_amount"])
 
 
-QUERIES["stream_province_order_window"] = stream_province_order_window
+def sku_order_from_fact(spark, sf_dir):
+    out = metrics.sku_order_window(_fact_from_json(spark, sf_dir), "10 seconds")
+    return _money(out, list(metrics.SKU_MEASURES.values()))
+
+
+QUERIES.update({"province_order_from_fact": province_order_from_fact, "sku_order_from_fact": sku_order_from_fact})

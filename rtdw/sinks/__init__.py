@@ -13,7 +13,7 @@ are not part of this build, so only the file targets run in tests.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,7 +46,7 @@ def metric_json(df: DataFrame, hidden: Sequence[str] = ()) -> DataFrame:
 # ------------------------------------------------------------ file writers --
 
 def write_json_lines(df: DataFrame, path: str, mode: str = "append") -> None:
-    """SNK1 / SNK5 file form: JSON lines."""
+    """SNK1 / SNK5 file form: JSON lines (batch). Streams use ``idempotent_files``."""
     df.write.mode(mode).json(path)
 
 
@@ -63,16 +63,15 @@ def write_with_serializer(df: DataFrame, path: str, key: F.Column | None,
     df.select(*cols).write.mode(mode).json(path)
 
 
-def write_dead_letters(dirty: DataFrame, path: str) -> None:
-    """SNK8: unparsable records, raw text kept."""
-    dirty.write.mode("append").json(path)
+def write_dead_letters(dirty: DataFrame, path: str, batch_id: int) -> None:
+    """SNK8: unparsable records, raw text kept; a replayed batch replaces its own."""
+    dirty.write.mode("overwrite").json(f"{path.rstrip('/')}/batch={batch_id}")
 
 
-def write_split(parts: Mapping[str, DataFrame], base: str) -> None:
-    """SNK9: five outputs of one log batch. Callers persist the repaired
-    batch before splitting so the five writes share one computation."""
-    for name, df in parts.items():
-        df.write.mode("append").json(f"{base.rstrip('/')}/{name}")
+def write_split(routed: DataFrame, base: str, batch_id: int) -> None:
+    """SNK9: the outputs of one log batch in one write and one pass: rows
+    ``(topic, value)``, one folder per topic under the batch's own folder."""
+    routed.write.mode("overwrite").partitionBy("topic").json(f"{base.rstrip('/')}/batch={batch_id}")
 
 
 def show(df: DataFrame, label: str, n: int = 20) -> None:
@@ -103,21 +102,42 @@ def upsert_key_value(df: DataFrame, key: Sequence[str]) -> DataFrame:
 
 
 def merge_upsert(current: DataFrame | None, changes: DataFrame, key: Sequence[str],
-                 seq_col: str) -> DataFrame:
-    """SNK4 / SNK7 table form: the new table = current rows whose key did not
-    change, plus the latest change per key. Written by the caller to a fresh
-    location and swapped in (atomic replace), never in place."""
+                 seq_col: str, op_col: str | None = None) -> DataFrame:
+    """SNK4 / SNK7 table form: the newest row per key of the current table and
+    the changes together, in one aggregation, so a change older than the stored row
+    (a replay, a late record) changes nothing. With ``op_col`` a newest change of op
+    ``d`` removes its key. ``versioned_upsert`` writes it to a fresh version, never in
+    place."""
     from ..operators.facts import upsert_latest
 
-    latest = upsert_latest(changes, list(key), seq_col)
-    if current is None:
-        return latest
-    untouched = current.join(latest.select(*key), list(key), "left_anti")
-    return untouched.unionByName(latest.select(*current.columns))
+    rows = changes if op_col is None else changes.withColumn(op_col, F.coalesce(F.col(op_col), F.lit("u")))
+    if current is not None:
+        stored = current if op_col is None else current.withColumn(op_col, F.lit("u"))
+        rows = stored.unionByName(rows, allowMissingColumns=True)
+    newest = upsert_latest(rows, list(key), seq_col)
+    # a delete that is the newest row of its key leaves the table with it
+    return newest if op_col is None else newest.where(F.col(op_col) != "d").drop(op_col)
 
 
 # -------------------------------------------------- streaming foreachBatch --
 
+def versioned_upsert(path: str, key: Sequence[str], seq_col: str,
+                     op_col: str | None = None) -> Callable[[DataFrame, int], None]:
+    """SNK4/SNK7: ``foreachBatch`` writer of a keyed table. Version ``n + 1`` is
+    version ``n`` merged with batch ``n``; a replayed batch rewrites the same
+    version from the same predecessor, so it leaves no trace of the first try."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        current = spark.read.parquet(version_path(path, batch_id)) if batch_id > 0 else None
+        merge_upsert(current, batch, key, seq_col, op_col).write.mode("overwrite").parquet(
+            version_path(path, batch_id + 1))
+    return write
+
+
+def version_path(path: str, version: int) -> str:
+    return f"{path.rstrip('/')}/version={version}"
+
+
 def idempotent_files(path: str, fmt: str = "json") -> Callable[[DataFrame, int], None]:
     """SNK5/SNK6: ``foreachBatch`` writer that overwrites the folder of its
     own batch id, so a replayed batch replaces instead of duplicating."""
@@ -128,11 +148,13 @@ def idempotent_files(path: str, fmt: str = "json") -> Callable[[DataFrame, int],
 
 # ------------------------------------------------------ connector options --
 
-def kafka_source_options(servers: str, topic: str, group: str) -> dict[str, str]:
-    """SRC1 options: whole topic from the earliest offset."""
+def kafka_source_options(servers: str, topic: str, group: str,
+                         fail_on_data_loss: bool = True) -> dict[str, str]:
+    """SRC1 options: whole topic from the earliest offset. Offsets that are no
+    longer there fail the query unless the caller says otherwise."""
     return {"kafka.bootstrap.servers": servers, "subscribe": topic,
             "startingOffsets": "earliest", "kafka.group.id": group,
-            "failOnDataLoss": "false"}
+            "failOnDataLoss": str(fail_on_data_loss).lower()}
 
 
 def kafka_sink_options(servers: str, topic: str | None = None) -> dict[str, str]:

@@ -57,19 +57,22 @@ def page_log_from(ev: DataFrame) -> DataFrame:
     )
 
 
+def search_log_from(pl: DataFrame, documents: DataFrame, n_events: int) -> DataFrame:
+    """Page log with ``item``/``item_type`` (batch or stream). Every document's
+    whole text is one keyword search, made at the time of the event whose id is
+    ``doc_id % count(events)``; the page views themselves carry an item of another
+    type, which the keyword filter drops."""
+    views = pl.withColumn("item_type", F.lit("sku_id")).withColumn("item", F.col("uid"))
+    docs = documents.select((F.col("doc_id") % n_events).alias("_event"), "text")
+    searches = pl.join(docs, pl.seq == F.col("_event")).select(
+        *[F.lit("search").alias(c) if c == "last_page_id" else F.col(c) for c in pl.columns],
+        F.lit("keyword").alias("item_type"), F.col("text").alias("item"))
+    return views.unionByName(searches)
+
+
 def search_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Page log with ``item``/``item_type``: home views searched the text of the
-    document whose id equals the event id (whole text, no prefix)."""
-    pl = page_log(spark, sf_dir)
-    docs = table(spark, sf_dir, "documents").select(
-        F.col("doc_id"), F.col("text"))
-    j = pl.join(docs, pl.seq == docs.doc_id, "left")
-    is_kw = F.col("page_id") == "home"
-    return j.select(
-        *[F.col(c) for c in pl.columns],
-        F.when(is_kw, "keyword").otherwise("sku_id").alias("item_type"),
-        F.when(is_kw, F.col("text")).otherwise(F.col("uid")).alias("item"),
-    )
+    events = table(spark, sf_dir, "events")
+    return search_log_from(page_log_from(events), table(spark, sf_dir, "documents"), events.count())
 
 
 def log_records(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -90,8 +90,9 @@ def parse_tolerant(df: DataFrame, schema: T.StructType, col: str = "value",
 
 
 def parse_plain(df: DataFrame, schema: T.StructType, col: str = "value") -> DataFrame:
-    """PRJ3: plain parse."""
-    return df.select(F.from_json(_v(col), schema).alias("_j")).select("_j.*")
+    """PRJ3: plain parse. A malformed record fails the job; it never becomes a
+    row of NULLs. A NULL record stays a row of NULLs (see ``parse_skip_null``)."""
+    return parse_strict(df, schema, col)
 
 
 def parse_skip_null(df: DataFrame, schema: T.StructType, col: str = "value") -> DataFrame:

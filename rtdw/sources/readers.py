@@ -17,13 +17,17 @@ from ..sinks import camel_case, kafka_source_options
 from .envelope import CDC_SCHEMA, ORDER_DETAIL_FACT_SCHEMA, parse_plain
 
 
-def read_topic(spark: SparkSession, servers: str, topic: str, group: str) -> DataFrame:
+def read_topic(spark: SparkSession, servers: str, topic: str, group: str,
+               fail_on_data_loss: bool = True) -> DataFrame:
     """SRC1: a topic from the earliest offset; ``value`` as a string and the
-    record ``timestamp`` kept (SRC4)."""
-    raw = spark.readStream.format("kafka").options(**kafka_source_options(servers, topic, group)).load()
+    record ``timestamp`` kept (SRC4). Offsets repeat across partitions, so
+    ``seq`` is the pair (partition, offset): ordering by ``(ingest_ts, seq)`` is
+    total (X15)."""
+    raw = spark.readStream.format("kafka").options(
+        **kafka_source_options(servers, topic, group, fail_on_data_loss)).load()
     return raw.select(F.col("value").cast("string").alias("value"),
                       F.col("timestamp").alias("ingest_ts"),
-                      F.col("offset").alias("seq"))
+                      F.struct("partition", "offset").alias("seq"))
 
 
 def read_json_lines_stream(spark: SparkSession, path: str,
