@@ -114,7 +114,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT,
 
     wd = windows.select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t"), "m", "start")
     wide = docs.select(*keyed, text_of(docs).alias("text"))
-    ids = wd.select("_d", "_t").distinct()
+    # the texts are shuffled once, whatever the number of ids: it grows with the corpus
+    ids = wd.select("_d", "_t").distinct().hint("merge")
     held = wide.join(ids, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_key") == F.col("_t")), "left_semi")
     held = stored(_shingled(held, "text", [F.col("doc_id"), F.col("text_key")]).dropDuplicates(["doc_id", "text_key"]),
                   "decontaminate-held")
@@ -147,6 +148,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT,
 def clean(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, radius: int = RADIUS) -> DataFrame:
     """The documents in which no item is found, with the input's columns."""
     found = contaminated(docs, benchmark, percent, radius).select(
-        F.col("doc_id").alias("_found_doc"), F.col("text_key").alias("_found_text")).distinct()
+        F.col("doc_id").alias("_found_doc"), F.col("text_key").alias("_found_text")).distinct().hint("merge")
     same = docs["doc_id"].eqNullSafe(found["_found_doc"]) & (F.xxhash64(text_of(docs)) == found["_found_text"])
     return docs.join(found, same, "left_anti").select(*columns_of(docs))
