@@ -238,7 +238,7 @@ def keep_one(docs: DataFrame, percent: int = 75) -> DataFrame:
     """The pipeline stage: one document of each group stays, with the input's
     columns; of rows that repeat both id and text, one. Rows without an id stay."""
     key, number = fresh(docs, "_text_key"), fresh(docs, "_number")
-    dropped = near_duplicates(docs, percent).where("NOT kept").select(F.col("doc_id").alias(f"{key}_dropped")).distinct()
+    dropped = near_duplicates(docs, percent).where("NOT kept").select(F.col("doc_id").alias(f"{key}_dropped")).distinct().hint("merge")
     left = docs.join(dropped, docs["doc_id"] == F.col(f"{key}_dropped"), "left_anti")
     # partitioned like the join: no further exchange of the texts
     left = left.withColumn(key, F.xxhash64(text_of(left)))
