@@ -269,3 +269,11 @@ ORACLE.update({
     "province_order_from_fact": province_order_window(4000),
     "sku_order_from_fact": sku_order_window(),
 })
+
+ORACLE.update({
+    "metric_json_read": province_order_window(4000),
+    "cdc_gate_json": ORACLE["cdc_gate"],
+    "log_parsed": """
+SELECT event_id AS seq, 'mid_' || CAST(user_id AS STRING) AS mid, event_type AS page_id, epoch_us(ts) // 1000 AS ts
+FROM events WHERE event_id % 97 <> 0 AND event_id % 89 <> 0 AND event_id % 83 <> 0 AND event_id % 79 <> 0""",
+})

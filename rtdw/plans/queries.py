@@ -436,3 +436,30 @@ def sku_order_from_fact(spark, sf_dir):
 
 
 QUERIES.update({"province_order_from_fact": province_order_from_fact, "sku_order_from_fact": sku_order_from_fact})
+
+
+# ------------------------------------------------------ JSON in, JSON out --
+
+def metric_json_read(spark, sf_dir):
+    """PRJ29: the metric's JSON lines, read back strictly."""
+    pw = province_order_window(spark, sf_dir)
+    return envelope.parse_strict(sinks.metric_json(pw), pw.schema)
+
+
+def cdc_gate_json(spark, sf_dir):
+    """SRC2/PRJ1/PRJ3: the change stream as JSON text, parsed and gated."""
+    text = B.topic_db(spark, sf_dir).select("seq", F.to_json(F.struct(
+        "op", "ts_ms", "before", "after", "source")).alias("value"))
+    parsed = text.select("seq", F.from_json("value", envelope.CDC_SCHEMA, {"mode": "FAILFAST"}).alias("j"))
+    g = envelope.cdc_gate(parsed.select("seq", "j.*"), B.DB_NAME)
+    return g.select(F.col("source")["table"].alias("source_table"), "op", "ts_ms", "seq",
+                    F.col("after")["id"].alias("after_id"))
+
+
+def log_parsed(spark, sf_dir):
+    """PRJ2: the good side of the tolerant log parse."""
+    good, _ = logs.clean(B.log_json(spark, sf_dir), keep=("seq",))
+    return good.select("seq", F.col("common")["mid"].alias("mid"), F.col("page")["page_id"].alias("page_id"), "ts")
+
+
+QUERIES.update({"metric_json_read": metric_json_read, "cdc_gate_json": cdc_gate_json, "log_parsed": log_parsed})

@@ -46,12 +46,16 @@ def test_stream_stream_order_detail_join(spark):
     base = tempfile.mkdtemp(prefix="rtdw-join-")
     # the *9 rows arrive much later on every input and move the (minimum)
     # watermark past d1's join range
-    d = spark.createDataFrame([("d1", "o1", "s1", "5.00", 1000), ("d2", "o2", "s2", "6.00", 2000),
-                               ("d9", "o9", "s9", "1.00", 10_000_000)],
-                              "id string, order_id string, sku_id string, split_total_amount string, ts_ms bigint")
+    extra = "sku_name string, create_time string, sku_num string, split_original_amount string, " \
+            "split_activity_amount string, split_coupon_amount string, split_total_amount string, ts_ms bigint"
+    more = ("sku", "86400000", "1", "5.00", "0.00", "0.00")
+    d = spark.createDataFrame([("d1", "o1", "s1", *more, "5.00", 1000), ("d2", "o2", "s2", *more, "6.00", 2000),
+                               ("d9", "o9", "s9", *more, "1.00", 10_000_000)],
+                              "id string, order_id string, sku_id string, " + extra)
     h = spark.createDataFrame([("o1", "u1", "p1", 1500), ("o9", "u9", "p9", 10_000_000)],
                               "id string, user_id string, province_id string, ts_ms bigint")
-    a = spark.createDataFrame([("d1", "a1", 1200), ("d9", "a9", 10_000_000)], "order_detail_id string, activity_id string, ts_ms bigint")
+    a = spark.createDataFrame([("d1", "a1", "r1", 1200), ("d9", "a9", "r9", 10_000_000)],
+                              "order_detail_id string, activity_id string, activity_rule_id string, ts_ms bigint")
     c = spark.createDataFrame([("dx", "c1", 1200), ("dy", "c9", 10_000_000)], "order_detail_id string, coupon_id string, ts_ms bigint")
     streams = {}
     for name, df in {"d": d, "h": h, "a": a, "c": c}.items():
@@ -61,6 +65,20 @@ def test_stream_stream_order_detail_join(spark):
     out = J.run_available_now(J.order_detail_join(streams["d"], streams["h"], streams["a"], streams["c"]),
                               "t-join")
     rows = [(r.id, r.user_id, r.activity_id, r.coupon_id) for r in out.collect()]
+    assert len(out.columns) == 17 and out.first().date_id == "1970-01-02"
     # d1: header and activity matched, no coupon -> emitted once the watermark passed;
     # d2: no header (inner join); d9: still inside its retention range
     assert rows == [("d1", "u1", "a1", None)]
+
+
+def test_plain_parse_fails_on_malformed_text(spark):
+    import pytest
+    bad = spark.createDataFrame([('{"op":"r"}',), ("{oops",)], "value string")
+    with pytest.raises(Exception):
+        readers.read_envelopes(bad).collect()
+
+
+def test_lost_offsets_fail_by_default():
+    from rtdw import sinks
+    assert sinks.kafka_source_options("h:1", "t", "g")["failOnDataLoss"] == "true"
+    assert sinks.kafka_source_options("h:1", "t", "g", False)["failOnDataLoss"] == "false"
