@@ -67,18 +67,28 @@ TREES, RATE, RIDGE = 24, 0.3, 1.0
 FOLDS = 2
 
 
+_MATCH = "array<struct<start:int,end:int,match:string,before:string,after:string>>"
+
+
 def matches(text: Column, pattern: str) -> Column:
-    """array<struct<start,end,match>> of all matches: what lies between them (split)
-    and the matches themselves give the offsets as running sums."""
-    empty = F.array().cast("array<struct<start:int,end:int,match:string>>")
-    gaps, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    """All matches with their offsets and neighbours: what lies between them (split)
+    and the matches themselves give the offsets as running sums; the context is
+    taken from the gaps, so no text is searched for an offset again."""
+    empty = F.array().cast(_MATCH)
     step = lambda acc, x: let(acc["at"] + x["gap"], lambda s: F.struct(
-        (s + F.length(x["match"])).alias("at"),
-        F.concat(acc["out"], F.array(F.struct(s.alias("start"), (s + F.length(x["match"])).alias("end"),
-                                              x["match"].alias("match")))).alias("out")))
-    return let(found, lambda ms: F.when(F.size(ms) == 0, empty).otherwise(F.aggregate(
-        F.zip_with(F.slice(gaps, 1, F.size(ms)), ms, lambda g, m: F.struct(F.length(g).alias("gap"), m.alias("match"))),
-        F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda acc: acc["out"])))
+        (s + x["size"]).alias("at"),
+        F.concat(acc["out"], F.array(F.struct(
+            s.alias("start"), (s + x["size"]).alias("end"), x["match"].alias("match"),
+            x["before"].alias("before"), x["after"].alias("after")))).alias("out")))
+
+    def located(ms, gaps):
+        around = F.transform(ms, lambda m, i: F.struct(
+            F.length(F.get(gaps, i)).alias("gap"), F.length(m).alias("size"), m.alias("match"),
+            F.right(F.get(gaps, i), F.lit(BEFORE)).alias("before"), F.left(F.get(gaps, i + 1), F.lit(1)).alias("after")))
+        return F.aggregate(around, F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda acc: acc["out"])
+
+    return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda ms: F.when(
+        F.size(ms) == 0, empty).otherwise(let(F.split(text, pattern, -1), lambda gaps: located(ms, gaps))))
 
 
 def _digits(m: Column) -> Column:
@@ -126,13 +136,13 @@ def _char_class(c: Column) -> Column:
     return F.when(c == "", 0).when(c.rlike(r"[\x20\x09-\x0D]"), 1).when(c.rlike(r"[A-Za-z0-9]"), 2).otherwise(3)
 
 
-def features(text: Column, x: Column, kind: str, rank: int) -> Column:
+def features(x: Column, kind: str, rank: int) -> Column:
     """Small integers; each has at most a dozen values."""
     m = x["match"]
     digits = _digits(m)
     groups = F.filter(F.split(m, "[^0-9]+"), lambda g: g != "")
     n = F.length(digits)
-    before = F.substring(text, F.greatest(x["start"] - BEFORE, F.lit(0)) + 1, F.least(x["start"], F.lit(BEFORE)))
+    before = x["before"]
     zero = F.lit(0)
     numeric = kind != "email"
     return F.struct(
@@ -146,8 +156,8 @@ def features(text: Column, x: Column, kind: str, rank: int) -> Column:
         (_octets(m).cast("int") if kind == "ip" else zero).alias("octets"),
         (F.least(F.length(F.regexp_extract(m, r"([A-Za-z0-9-]+)$", 1)), F.lit(7)) if kind == "email" else zero).alias("tail"),
         (F.least(F.length(F.regexp_extract(m, r"^([A-Za-z0-9._%+-]+)", 1)), F.lit(4)) if kind == "email" else zero).alias("head"),
-        _char_class(F.substring(before, -1, 1)).alias("before"),
-        _char_class(F.substring(text, x["end"] + 1, F.lit(1))).alias("after"),
+        _char_class(F.right(before, F.lit(1))).alias("before"),
+        _char_class(x["after"]).alias("after"),
         before.rlike(CUE).cast("int").alias("cue"))
 
 
@@ -156,20 +166,22 @@ _SHAPE = ("array<struct<start:int,rank:int,end:int,f:struct<"
 
 
 def _candidates_of(text: Column, base: Column, kind: str, rank: int) -> Column:
-    def row(x):
+    def row(x, starts):
         meets = lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])
         own = F.exists(base, lambda b: meets(b) & (b["rank"] == rank))
         return F.struct(x["start"].alias("start"), F.lit(rank).alias("rank"), x["end"].alias("end"),
-                        features(text, x, kind, rank).alias("f"),
-                        F.when(own, 1).when(F.exists(base, meets), 2).otherwise(0).alias("label"))
+                        features(x, kind, rank).alias("f"),
+                        # most candidates start where a base span does
+                        F.when(F.array_contains(starts, x["start"]) | own, 1).when(F.exists(base, meets), 2).otherwise(0).alias("label"))
 
-    found = F.transform(matches(text, WIDE[kind]), row)
+    own_starts = F.transform(F.filter(base, lambda b: b["rank"] == rank), lambda b: b["start"])
+    found = let(own_starts, lambda starts: F.transform(matches(text, WIDE[kind]), lambda x: row(x, starts)))
     return F.coalesce(F.when(text.rlike(NEEDED[kind]), found).cast(_SHAPE), F.array().cast(_SHAPE))
 
 
 def candidates(text: Column, base: Column) -> Column:
     """array<struct<start,rank,end,f,label>>: label 1 meets a base span of its kind, 2
-    one of another kind, 0 none."""
+    one of another kind, 0 none. The context is what stands since the last match."""
     return F.concat(*(_candidates_of(text, base, k, r) for r, k in enumerate(KINDS)))
 
 
