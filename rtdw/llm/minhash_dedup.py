@@ -218,8 +218,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     across = x.join(y, "key").where(
         (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _sizes_fit("na", "nb", percent)
         & (_first_common("la", "lb") == F.col("band")) & (_difference("oa", "ob") <= limit))
-    second = stored(across.select("a", "b").distinct(), "minhash-across")
-    more = confirmed(slim, second.join(first, ["a", "b"], "left_anti"), percent)
+    second = stored(across.select("a", "b").distinct().join(first, ["a", "b"], "left_anti"), "minhash-across")
+    more = confirmed(slim, second, percent)
 
     label = components(links.unionByName(more), "a", "b")
     # a component's least representative is its least doc_id: each class is
