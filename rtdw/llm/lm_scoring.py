@@ -353,8 +353,8 @@ def _score(shared, w, refined, frequent):
             texts = _texts(b.column(2))
             gram, lengths = _grams(texts)
             ends = np.cumsum(lengths)
-            total = np.concatenate(([0.0], np.cumsum(lookup(gram)))) if len(gram) else np.zeros(1)
-            logs = total[ends] - total[ends - lengths]
+            # summed text by text: equal texts score alike to the last bit
+            logs = np.add.reduceat(lookup(gram), ends - lengths) if len(gram) else np.empty(0)
             n_tokens, n_known, part, rest = [], [], [], []
             for t in texts:
                 words = t.lower().split()
