@@ -120,14 +120,13 @@ def net_replace_rows(df: DataFrame, key: str, amount: str, seq_col: str = "seq",
                      group_cols: Sequence[str] = ()) -> DataFrame:
     """ST6 netted for aggregation: a retraction shares window and group with
     the row it cancels, so the pair sums to zero there. What remains is every
-    row's grouping fields (amount NULL) plus each key's last row with its
-    amount. Grouping this with ``sum(amount)`` and distinct counts gives the
-    same result as the literal stream, without a join and with map-side
-    combining on the key."""
-    payload = [c for c in df.columns if c not in (key,)]
-    last = latest_per_key(df, [key], [seq_col], payload)
-    everything = df.withColumn(amount, F.lit(None).cast(df.schema[amount].dataType))
-    return everything.unionByName(last.select(*df.columns))
+    row's grouping fields, with its amount only on each key's last row. Grouping
+    this with ``sum(amount)`` and distinct counts gives the same result as the
+    literal stream from one pass over the input: one exchange on the key, whose
+    rows are the few versions of one record."""
+    newest = Window.partitionBy(key).orderBy(F.col(seq_col).desc())
+    ranked = df.withColumn("_rank", F.row_number().over(newest))
+    return ranked.withColumn(amount, F.when(F.col("_rank") == 1, F.col(amount))).drop("_rank")
 
 
 def latest_within(df: DataFrame, key: str, order_col: str = "ts_ms",

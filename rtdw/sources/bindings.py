@@ -34,8 +34,9 @@ def page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_log_from(table(spark, sf_dir, "events"))
 
 
-def page_log_from(ev: DataFrame) -> DataFrame:
-    """The page-log projection of an ``events`` DataFrame (batch or stream)."""
+def page_log_from(ev: DataFrame, *extra: str) -> DataFrame:
+    """The page-log projection of an ``events`` DataFrame (batch or stream), with
+    further columns of ``events`` if named."""
     et = F.col("event_type")
     return ev.select(
         F.concat(F.lit("mid_"), _s("user_id")).alias("mid"),
@@ -54,6 +55,7 @@ def page_log_from(ev: DataFrame) -> DataFrame:
         F.col("ts").cast("date").alias("d"),
         ts_to_ms("ts").alias("ts_ms"),
         F.col("event_id").alias("seq"),
+        *extra,
     )
 
 
@@ -83,11 +85,7 @@ def log_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     seventh event carry an ``err`` object; view/click rows carry 0-3
     displays, click/purchase rows 0-2 actions; other rows have no arrays.
     """
-    pl = page_log(spark, sf_dir)
-    ev = table(spark, sf_dir, "events").select(
-        F.col("event_id").alias("seq"), "event_type", "props", "value",
-        F.col("user_id"))
-    j = pl.join(ev, "seq")
+    j = page_log_from(table(spark, sf_dir, "events"), "event_type", "props", "value", "user_id")
     t = F.col("event_type")
     disp = [F.create_map(F.lit("item"), F.col("uid"), F.lit("item_type"), F.lit("sku_id"),
                          F.lit("pos_id"), F.lit(str(i))) for i in (1, 2, 3)]
