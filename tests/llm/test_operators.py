@@ -2,6 +2,7 @@
 ties, repeated rows and clashing columns, and on an empty table."""
 
 import hashlib
+import re
 import zlib
 
 from pyspark.sql import functions as F
@@ -101,6 +102,19 @@ def test_personal_data(docs, empty, corpus):
     assert personal_data.find(empty).count() == 0
 
 
+def test_cards_spelt_digit_by_digit(spark):
+    number = "4111111111111111"
+    texts = [f"card {sign.join(number)} thanks" for sign in (" ", "-", "")] + ["a 4 b 1 c", "card 4 1"]
+    found = personal_data.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    got = {r["doc_id"]: [f"{personal_data.KINDS[x['rank']]}:{x['start']}:{x['end']}" for x in r["base"]] for r in found}
+    assert got == {i: brute.base_spans(t, brute.PERSONAL)[1] for i, t in enumerate(texts)}
+    assert got[0] == got[1] == ["card:5:36"]
+    for kind in personal_data.KINDS:
+        for t in texts + [f"card {sign.join(number)} thanks" for sign in "./"]:
+            if re.search(personal_data.WIDE[kind].replace(r"|\G", ""), t):
+                assert re.search(personal_data.NEEDED[kind], t), (kind, t)
+
+
 def test_boosted_trees_add_variants_of_what_they_learnt(spark):
     rows_ = [(i, f"write to user{i}.x@mail{i % 9}.example.com or pay 4111 1111 1111 1111 now {i} end") for i in range(60)]
     rows_ += [(1000 + i, f"serial 1234 5678 9012 34{i:02d} of the part") for i in range(60)]
