@@ -5,10 +5,12 @@ shorter document is one window). Words are lower-cased; the shingles are five wo
 (a text of one to four words is one shingle), weighted by how often they occur.
 
 1. Anchors. Document shingles that equal some benchmark shingle are found by one
-   join; a window without any has similarity 0. A similarity of 0.75 needs
-   6/7 of the item's shingles, so an item with anchors for less than half of its
-   shingles in a document is left out at once. Each anchor (place p in the document,
-   q in the item) proposes the window that starts at p - q, moved inside the text.
+   join. A similarity of 0.75 needs anchors at 6/7 of the window's places (``_need``),
+   so only starts whose window holds that many are proposed. A window all of whose
+   anchors (place p in the document, q in the item) have p - q above its start is no
+   better than the next one, and one with all below no better than the one before:
+   every start from the least to the greatest p - q of its window's anchors is
+   proposed, so a best window always is, also between two diagonals.
 2. Fingerprints. Each proposed window and each item gets a 64-bit SimHash: every
    shingle votes, by weight, on every bit. At similarity 0.75 two fingerprints differ
    in 11 bits on average (deviation 3), ``RADIUS`` allows 23.
@@ -92,6 +94,35 @@ def _common(a: Column, b: Column) -> Column:
     return F.when(distinct, F.size(F.array_intersect(a, b))).otherwise(counted)
 
 
+def _need(n: Column, item_size: Column, percent: int) -> Column:
+    """The least number of common shingles that gives the similarity, in a
+    document of n words."""
+    both = item_size + F.least(item_size, F.greatest(n - SHINGLE + 1, F.lit(1)))
+    return F.greatest(F.lit(1), F.ceil(percent * both / (100 + percent)).cast("int"))
+
+
+def _starts() -> Column:
+    """The starts proposed for a (document, item), each once: from the columns
+    ``places`` (p, low, high: least and greatest p - q), n, m, item_size and need."""
+    places, size, need = F.col("places"), F.col("item_size"), F.col("need")
+    last = F.greatest(F.lit(0), F.col("n") - F.col("m"))
+
+    def proposed(s, i):
+        inside = F.filter(F.slice(places, i + 1, size), lambda y: y["p"] < s + size)
+        return let(inside, lambda ys: ((s >= last) | F.exists(ys, lambda y: y["low"] <= s))
+                   & ((s <= 0) | F.exists(ys, lambda y: y["high"] >= s)))
+
+    def first_at(x, i):
+        # starts whose window has place i as its first and holds ``need`` places
+        low = F.greatest(F.coalesce(F.get(places, i - 1)["p"] + 1, F.lit(0)), F.get(places, i + need - 1)["p"] - size + 1)
+        high = F.least(x["p"], last)
+        enough = F.get(places, i + need - 1).isNotNull() & (low <= high)
+        return F.when(enough, F.filter(F.sequence(low, high), lambda s: proposed(s, i))).otherwise(
+            F.array().cast("array<int>"))
+
+    return F.flatten(F.transform(places, first_at))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, radius: int = RADIUS) -> DataFrame:
     """One row per (document, item) found: doc_id, text_key, item_id, start (first
     word of the best window), words (its length), similarity."""
@@ -101,16 +132,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT,
     keyed = [docs["doc_id"], F.xxhash64(text_of(docs)).alias("text_key")]
     shingled = _shingled(docs, "text", keyed)
     # outer: a plain explode makes Spark infer a filter that hashes every text twice
-    anchors = shingled.select("doc_id", "text_key", "n", F.posexplode_outer("sh").alias("p", "h")).join(
-        item_side, "h").select("doc_id", "text_key", "n", "item_id", "m", "item_size", "p",
-                               F.greatest(F.lit(0), F.least(F.col("p") - F.col("q"), F.col("n") - F.col("m"))).alias("start"))
-    anchors = stored(anchors, "decontaminate-anchors")
     pair = ["doc_id", "text_key", "item_id"]
-    # distinct places, combined per (pair, start) before they are added up
-    some = anchors.groupBy(*pair, "item_size").agg(F.count_distinct("p").alias("places")).where(
-        2 * F.col("places") >= F.col("item_size")).select(*(F.col(c).alias(f"_{c}") for c in pair))
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in pair]
-    windows = anchors.join(some, same, "left_semi").select("doc_id", "text_key", "m", "start").distinct()
+    sizes = ["n", "m", "item_size"]
+    anchors = shingled.select("doc_id", "text_key", "n", F.posexplode_outer("sh").alias("p", "h")).join(item_side, "h")
+    # a place once, whatever the rows or shingles that repeat: at most n of them in a list
+    places = anchors.groupBy(*pair, *sizes, "p").agg(F.max("q").alias("most"), F.min("q").alias("least")).groupBy(
+        *pair, *sizes).agg(F.sort_array(F.collect_list(F.struct(
+            "p", (F.col("p") - F.col("most")).alias("low"), (F.col("p") - F.col("least")).alias("high")))).alias("places"))
+    places = places.withColumn("need", _need(F.col("n"), F.col("item_size"), percent)).where(F.size("places") >= F.col("need"))
+    windows = stored(places.select("doc_id", "text_key", "m", F.explode_outer(_starts()).alias("start")).where(
+        "start is not null").distinct(), "decontaminate-starts")
 
     wd = windows.select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t"), "m", "start")
     wide = docs.select(*keyed, text_of(docs).alias("text"))

@@ -166,6 +166,34 @@ def test_decontamination(docs, empty, benchmark, corpus, items):
     assert decontaminate.clean(docs, benchmark.limit(0)).count() == len(corpus)
 
 
+def test_windows_between_the_diagonals(spark):
+    import random
+    item = [f"item{i}" for i in range(48)]
+    other = [f"again{i % 9}" for i in range(30)]
+
+    def around(w):
+        return " ".join([f"lead{i}" for i in range(60)] + w + [f"tail{i}" for i in range(60)])
+
+    # the best window (38 of 50) starts between the diagonals of the item's two halves
+    moved = ["x"] + item[1:23] + ["y", "z"] + item[23:47] + ["x"]
+    texts = [around(moved), " ".join(moved), around(item[24:] + item[:24]), around(item), around(other), around(other[3:])]
+    rnd = random.Random(7)
+    for _ in range(60):
+        w = list(rnd.choice((item, item, other)))
+        for _ in range(rnd.randint(1, 3)):
+            at = rnd.randrange(len(w))
+            w[at:at + rnd.randint(0, 2)] = [f"new{rnd.randrange(99)}" for _ in range(rnd.randint(0, 2))]
+        texts.append(rnd.choice((around, " ".join))(w))
+    corpus, items = list(enumerate(texts)), [(1, " ".join(item)), (2, " ".join(other))]
+    docs, bench = spark.createDataFrame(corpus, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in decontaminate.contaminated(docs, bench).collect()}
+    want = brute.decontaminate(corpus, items)
+    assert abs(want[0, 1] - 38 / 50) < 1e-9 and 10 < len(want) < 60
+    assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    left = {r[0] for r in decontaminate.clean(docs, bench).select("doc_id").collect()}
+    assert left == set(range(len(corpus))) - {i for i, _ in want}
+
+
 def test_pu_quality(spark, docs, empty):
     import numpy as np
     rng = np.random.default_rng(1)
