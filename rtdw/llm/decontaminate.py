@@ -15,8 +15,10 @@ shorter document is one window). Words are lower-cased; the shingles are five wo
    shingle votes, by weight, on every bit. At similarity 0.75 two fingerprints differ
    in 11 bits on average (deviation 3), ``RADIUS`` allows 23.
 3. Multi-index Hamming blocks. The 64 bits fall into RADIUS + 1 blocks: fingerprints
-   within the radius agree in one block at least, so equal (size, block, value) gives
-   every pair within the radius, and the bit count of the XOR decides.
+   within the radius agree in one block at least, so equal (item, size, block, value)
+   gives every pair within the radius, and the bit count of the XOR decides. A window
+   meets only the items it was proposed for: any other has too few anchors in it or
+   has a window as good elsewhere.
 4. Candidates are verified exactly: sum of least over sum of greatest weights of
    all shingles of window and item, 0.75 or more.
 
@@ -123,6 +125,15 @@ def _starts() -> Column:
     return F.flatten(F.transform(places, first_at))
 
 
+def _meetings(windows: DataFrame, prints: DataFrame, radius: int) -> DataFrame:
+    """Windows with the items they are proposed for, once per common block."""
+    left = windows.select("doc_id", "text_key", "m", "start", "print", F.explode("for").alias("only")).select(
+        "*", F.explode(_blocks(F.col("print"), radius)).alias("b"))
+    right = prints.select("item_id", F.struct("item_id").alias("only"), "m", "item_print",
+                          F.explode(_blocks(F.col("item_print"), radius)).alias("b"))
+    return left.join(right, ["only", "m", "b"])
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, radius: int = RADIUS) -> DataFrame:
     """One row per (document, item) found: doc_id, text_key, item_id, start (first
     word of the best window), words (its length), similarity."""
@@ -140,10 +151,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT,
         *pair, *sizes).agg(F.sort_array(F.collect_list(F.struct(
             "p", (F.col("p") - F.col("most")).alias("low"), (F.col("p") - F.col("least")).alias("high")))).alias("places"))
     places = places.withColumn("need", _need(F.col("n"), F.col("item_size"), percent)).where(F.size("places") >= F.col("need"))
-    windows = stored(places.select("doc_id", "text_key", "m", F.explode_outer(_starts()).alias("start")).where(
-        "start is not null").distinct(), "decontaminate-starts")
+    windows = stored(places.select(*pair, "m", F.explode_outer(_starts()).alias("start")).where(
+        "start is not null"), "decontaminate-starts")
 
-    wd = windows.select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t"), "m", "start")
+    # each start with the items it is proposed for: no other item's fingerprint need meet it
+    wd = windows.groupBy(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t"), "m", "start").agg(
+        F.collect_set(F.struct("item_id")).alias("for"))
     wide = docs.select(*keyed, text_of(docs).alias("text"))
     # the texts are shuffled once, whatever the number of ids: it grows with the corpus
     ids = wd.select("_d", "_t").distinct().hint("merge")
@@ -152,13 +165,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT,
                   "decontaminate-held")
     cut = F.slice(F.col("sh"), F.col("start") + 1, F.greatest(F.lit(1), F.col("m") - SHINGLE + 1))
     framed = held.join(wd, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_key") == F.col("_t"))).select(
-        "doc_id", "text_key", "m", "start", cut.alias("window"))
+        "doc_id", "text_key", "m", "start", "for", cut.alias("window"))
     framed = stored(framed.withColumn("print", _simhash(F.col("window"))), "decontaminate-windows")
 
     prints = items.select("item_id", F.col("n").alias("m"), F.col("sh").alias("item"), _simhash(F.col("sh")).alias("item_print"))
-    left = framed.select("doc_id", "text_key", "m", "start", "print", F.explode(_blocks(F.col("print"), radius)).alias("b"))
-    right = prints.select("item_id", "m", "item_print", F.explode(_blocks(F.col("item_print"), radius)).alias("b"))
-    near = left.join(right, ["m", "b"]).where(
+    near = _meetings(framed, prints, radius).where(
         F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= radius)
     near = near.select("doc_id", "text_key", "m", "start", "item_id").distinct()
     n = near.select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t"), F.col("m").alias("_m"),

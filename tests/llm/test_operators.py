@@ -194,6 +194,18 @@ def test_windows_between_the_diagonals(spark):
     assert left == set(range(len(corpus))) - {i for i, _ in want}
 
 
+def test_windows_meet_only_the_items_they_are_proposed_for(spark, monkeypatch):
+    items = [(i, " ".join(f"item{i}x{j}" for j in range(30))) for i in range(40)] + [(None, " ".join(f"none{j}" for j in range(30)))]
+    corpus = [(i, f"lead words {t} tail words") for i, (_, t) in enumerate(items)]
+    docs, bench = spark.createDataFrame(corpus, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    joined, meetings = [], decontaminate._meetings
+    monkeypatch.setattr(decontaminate, "_meetings", lambda *a: joined.append(meetings(*a)) or joined[-1])
+    found = decontaminate.contaminated(docs, bench)
+    assert rows(found, "doc_id", "item_id") == sorted(((d, i) for (d, _), (i, _) in zip(corpus, items)), key=repr)
+    # one pair for each window, in each of its blocks; all of a size met all before
+    assert joined[0].count() == len(items) * (decontaminate.RADIUS + 1)
+
+
 def test_pu_quality(spark, docs, empty):
     import numpy as np
     rng = np.random.default_rng(1)
