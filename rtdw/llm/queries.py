@@ -98,6 +98,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         m["kept"].alias("kept"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rtdw.llm import spelling_variants
+
+    return spelling_variants.variants(documents(spark, sf_dir))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -115,5 +121,6 @@ LLM_QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_quality_rules": op10_quality_rules,
+    "op11_spelling_variants": op11_spelling_variants,
     "pipeline": pipeline,
 }

@@ -133,3 +133,38 @@ def base_scores(docs):
     n, v = sum(c.values()), len(c)
     return [(i, fold(i) == 2, len(toks(t)), sum(c[x] > 0 for x in toks(t)), n,
              sum(math.log10((c[x] + 1) / (n + v + 1)) for x in toks(t))) for i, t in docs]
+
+
+RUN = re.compile("[A-Za-zÀ-ÿ]+")
+
+
+def spelling_variants(docs, length=5, least=3, factor=2, slip=97):
+    """(word, n, n_near, form, form_n, root) from all pairs of words."""
+    count = Counter()
+    for i, t in docs:
+        for w in RUN.findall(t or ""):
+            w = w.translate(LOW)
+            h = zlib.crc32(f"{'' if i is None else i}:{w}".encode())
+            if h % slip == 0:
+                w = w[:h % len(w)] + w[h % len(w) + 1:]
+            count[w] += 1
+    n = {w: k for w, k in count.items() if len(w) >= length and k >= least}
+
+    def near(a, b):
+        if len(a) == len(b):
+            return sum(x != y for x, y in zip(a, b)) == 1
+        a, b = sorted((a, b), key=len)
+        return len(b) == len(a) + 1 and any(b[:i] + b[i + 1:] == a for i in range(len(b)))
+
+    mates = {w: [v for v in n if near(w, v)] for w in n}
+    form = {}
+    for w, some in mates.items():
+        best = min(some, key=lambda v: (-n[v], v), default=None)
+        form[w] = best if best is not None and n[best] >= factor * n[w] else None
+
+    def root(w):
+        while form[w] is not None:
+            w = form[w]
+        return w
+
+    return sorted((w, n[w], len(mates[w]), form[w], n.get(form[w]), root(w)) for w in n)
