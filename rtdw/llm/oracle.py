@@ -106,7 +106,37 @@ OP3 = f"""WITH {_ctes_mixing('documents')}
 SELECT doc_id, size, source_size, target, (copies * size)::BIGINT AS taken FROM m9"""
 
 
+# words hold no blanks, so a phrase is known by its words joined by one space
+COLLOCATIONS = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang,
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+           FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS s FROM d),
+w AS (SELECT lang, regexp_extract_all(s, '[^\x20\x09]+') AS ws FROM p),
+g AS (SELECT lang, k, unnest(list_transform(generate_series(1, len(ws) - k + 1),
+             lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase
+      FROM w, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(ws) >= k),
+f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS MATERIALIZED (SELECT *, string_split(phrase, ' ') AS ws FROM f WHERE k >= 2 AND a >= 30),
+inside AS (SELECT lang, array_to_string(ws[i:i + m - 1], ' ') AS phrase, max(a) AS most
+           FROM (SELECT *, unnest(generate_series(1, k - m + 1)) AS i
+                 FROM c, (SELECT unnest([2, 3]) AS m) WHERE m < k) GROUP BY ALL),
+kept AS (SELECT c.* FROM c LEFT JOIN inside USING (lang, phrase)
+         WHERE 100::HUGEINT * coalesce(most, 0) < 80::HUGEINT * a),
+cuts AS (SELECT *, unnest(generate_series(1, k - 1)) AS j FROM kept),
+scored AS (SELECT cuts.lang, cuts.phrase, cuts.a, cuts.j, x.a AS l, y.a AS r,
+                  (2000000::HUGEINT * cuts.a // (x.a + y.a))::BIGINT AS score
+           FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = array_to_string(ws[1:j], ' ')
+                     JOIN f y ON y.lang = cuts.lang AND y.phrase = array_to_string(ws[j + 1:], ' ')),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n, score
+FROM best JOIN n USING (lang) QUALIFY rank <= 2000
+"""
+
 LLM_ORACLE = {
+    "op12_collocations": COLLOCATIONS,
     "op3_mixing": OP3,
     "op10_quality_rules": OP10,
 }

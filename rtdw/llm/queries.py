@@ -104,6 +104,12 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants.variants(documents(spark, sf_dir))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rtdw.llm import collocations
+
+    return collocations.collocations(documents(spark, sf_dir))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -122,5 +128,6 @@ LLM_QUERIES = {
     "op9_lm_scoring": op9_lm_scoring,
     "op10_quality_rules": op10_quality_rules,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_collocations": op12_collocations,
     "pipeline": pipeline,
 }

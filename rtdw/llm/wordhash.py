@@ -41,12 +41,13 @@ def _powers(base: int, n: int) -> np.ndarray:
 class Words:
     """The words of a batch of texts (bytes), in order."""
 
-    def __init__(self, texts: list[bytes], lower: bool = False):
-        data = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
+    def __init__(self, texts: list[bytes], lower: bool = False, space: np.ndarray = _SPACE):
+        """``space``: which bytes (256 flags) separate words; a line feed must."""
+        data = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
         if lower:
             data = np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
         self.data = data
-        word = ~_SPACE[data]
+        word = ~space[data]
         edge = np.flatnonzero(np.diff(np.concatenate(([False], word, [False])).astype(np.int8)))
         self.starts, self.ends = edge[0::2], edge[1::2]
         lengths = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))

@@ -168,3 +168,33 @@ def spelling_variants(docs, length=5, least=3, factor=2, slip=97):
         return w
 
     return sorted((w, n[w], len(mates[w]), form[w], n.get(form[w]), root(w)) for w in n)
+
+
+def collocations(rows, longest=4, least=30, top=2000):
+    """(lang, rank, phrase, a, l, r, n, score) over [(lang, text)]."""
+    counts, n = {}, Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        f = counts.setdefault(lang, Counter())
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(LOW)):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            n[lang] += len(w)
+            for k in range(1, longest + 1):
+                f.update(tuple(w[i:i + k]) for i in range(len(w) - k + 1))
+    out = []
+    for lang, f in counts.items():
+        some = {p: a for p, a in f.items() if len(p) > 1 and a >= least}
+        inside = Counter()
+        for p, a in some.items():
+            for k in range(2, len(p)):
+                for i in range(len(p) - k + 1):
+                    inside[p[i:i + k]] = max(inside[p[i:i + k]], a)
+        ranked = []
+        for p, a in some.items():
+            if 100 * inside[p] >= 80 * a:
+                continue
+            score, k = min((2_000_000 * a // (f[p[:k]] + f[p[k:]]), k) for k in range(1, len(p)))
+            ranked.append((-score, -a, " ".join(p).encode(), f[p[:k]], f[p[k:]]))
+        for rank, (score, a, p, left, right) in enumerate(sorted(ranked)[:top], 1):
+            out.append((lang, rank, p.decode(), -a, left, right, n[lang], -score))
+    return sorted(out)
