@@ -110,6 +110,13 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(documents(spark, sf_dir))
 
 
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rtdw.llm import html_content
+
+    prepare(spark)
+    return html_content.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -129,5 +136,6 @@ LLM_QUERIES = {
     "op10_quality_rules": op10_quality_rules,
     "op11_spelling_variants": op11_spelling_variants,
     "op12_collocations": op12_collocations,
+    "op13_html_extraction": op13_html_extraction,
     "pipeline": pipeline,
 }
