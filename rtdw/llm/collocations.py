@@ -17,10 +17,11 @@ before is consulted through a bit array (``sketch.py``) sized by the number of
 phrases it holds, 64 MB at most: it may let a rare phrase through, which the exact
 counts then drop, but never stops a frequent one.
 
-Tasks merge what they read before the shuffle, so a common prefix is one row a task.
-The stripes of a prefix that holds more than ``1 / HOT`` of all words are cut into
-``SEGMENTS`` by the follower's hash. The shuffled stripes are sorted by prefix and merged as
-they stream by: a task holds one stripe and a buffer, however large its share.
+Tasks merge what they read before the shuffle and send their stripes in buckets of
+prefixes, one row a bucket, so a common prefix costs a task one stripe. The stripes of a prefix
+that holds more than ``1 / HOT`` of all words are dealt over ``SEGMENTS`` buckets by the word that
+follows. The number of buckets grows with the number of words, so a bucket stays of
+a size; buckets are merged one after the other.
 
 Words are known by a 64-bit hash of language and word. The vocabulary is checked for two
 words of one hash (a second, independent hash tells them apart inside a task); if
@@ -56,10 +57,12 @@ BREAKS = b".,;:!?\n\x0b\x0c\r"
 BLANKS = b" \t"
 LONGEST, LEAST, TOP, SCALE = 4, 30, 2000, 2_000_000
 
-BLOCK = 2 << 20        # bytes of text hashed at a time
+BLOCK = 1 << 20        # bytes of text hashed at a time
 HELD = 1_500_000       # entries a task holds before it merges them
+WORDS_HELD = 600_000
 HOT, SEGMENTS = 256, 64
-BUCKETS = 64           # of the first round of a language's ranking
+PER_BUCKET, LEAST_BUCKETS = 500_000, 1024
+ROUNDS = 64            # parts of a language in the first round of its ranking
 KEYS = ["w1", "w2", "w3"]
 
 _SPLIT = re.compile(b"[" + re.escape(BREAKS) + b"]")
@@ -71,7 +74,7 @@ _SEPARATES[list(BREAKS + BLANKS)] = True
 # -------------------------------------------------------------- in a task --
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[str], list[bytes]]]:
-    """Languages and texts, some 2 MB at a time; a longer text is cut at breaks,
+    """Languages and texts, some 1 MB at a time; a longer text is cut at breaks,
     which no phrase crosses."""
     langs: list[str] = []
     texts: list[bytes] = []
@@ -93,6 +96,31 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[str], list[
         yield langs, texts
 
 
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
+def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
+    """A hash per word, eight bytes at a time; the few words of more than 64 bytes
+    one by one."""
+    eights = np.ndarray((len(data),), "<u8", np.concatenate((data, np.zeros(8, np.uint8))), 0, (1,))
+    size = ends - starts
+    h = mixed(size.astype(np.uint64) + U(seed))
+    at, some = starts, slice(None)
+    for off in range(0, 64, 8):
+        left = size[some] - off
+        h[some] = mixed(h[some] ^ (eights[at + off] & _MASKS[np.minimum(left, 8)]))
+        go = np.flatnonzero(left > 8)
+        some = go if off == 0 else some[go]
+        if not len(some):
+            return h
+        at = starts[some]
+    key = (seed % (1 << 64)).to_bytes(8, "little")
+    for k in np.flatnonzero(size > 64):
+        digest = hashlib.blake2b(data[starts[k]:ends[k]].tobytes(), digest_size=8, key=key).digest()
+        h[k] = int.from_bytes(digest, "little")
+    return h
+
+
 class _Tokens:
     """Ids (odd, so never 0) and piece numbers of the words of some texts."""
 
@@ -102,13 +130,15 @@ class _Tokens:
         salt = {x: int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "little") for x in set(langs)}
         self.salt = np.array([salt[x] for x in langs], np.uint64)[self.lang]
         self.ids = self.hash(seed) | U(1)
-        self.piece = np.cumsum(_BREAKS[w.data])[w.starts]
+        self.piece = np.searchsorted(np.flatnonzero(_BREAKS[w.data]), w.starts)
 
     def hash(self, seed: int) -> np.ndarray:
-        return mixed(self.words.hashes(seed) ^ self.salt)
+        return mixed(_hashes(self.words.data, self.words.starts, self.words.ends, seed) ^ self.salt)
 
-    def word(self, at: int) -> str:
-        return self.words.data[self.words.starts[at]:self.words.ends[at]].tobytes().decode("utf-8", "replace")
+    def spelt(self, at: np.ndarray) -> list[str]:
+        raw = self.words.data.tobytes()
+        return [raw[a:b].decode("utf-8", "replace")
+                for a, b in zip(self.words.starts[at].tolist(), self.words.ends[at].tolist())]
 
 
 def _seed(attempt: int) -> int:
@@ -122,120 +152,167 @@ def _phrase_hash(columns: list[np.ndarray]) -> np.ndarray:
     return h
 
 
-def _summed(columns: list[np.ndarray], n: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """The distinct rows of ``columns`` in order, with the sums of ``n``."""
-    order = np.lexsort(columns[::-1])
-    columns = [c[order] for c in columns]
-    new = np.zeros(len(order), bool)
+def _changes(columns: list[np.ndarray]) -> np.ndarray:
+    """Flags of the rows that differ from the row before."""
+    new = np.zeros(len(columns[0]), bool)
     new[:1] = True
     for c in columns:
         new[1:] |= c[1:] != c[:-1]
-    at = np.flatnonzero(new)
-    return [c[at] for c in columns], np.add.reduceat(n[order], at) if len(at) else n
+    return new
 
 
-def _runs(columns: list[np.ndarray]) -> np.ndarray:
-    """Where the rows (in order) change, and the end."""
-    n = len(columns[0])
-    new = np.zeros(n, bool)
-    new[:1] = True
-    for c in columns:
-        new[1:] |= c[1:] != c[:-1]
-    return np.append(np.flatnonzero(new), n)
+def _summed(columns: list[np.ndarray], n: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct rows of ``columns`` (a prefix and the word that follows) with the sums
+    of ``n``, one prefix after the other. Rows are sorted by 32 bits of either part's hash; should two
+    different rows share all 64, they are sorted by themselves."""
+    *prefix, follow = columns
+    key = (_phrase_hash(prefix) & ~U(0xFFFFFFFF)) | (mixed(follow) >> U(32))
+    order = np.argsort(key)
+    columns, key = [c[order] for c in columns], key[order]
+    new = _changes(columns)
+    if (new[1:] & (key[1:] == key[:-1])).any():
+        again = np.lexsort(columns[::-1])
+        columns, order = [c[again] for c in columns], order[again]
+        new = _changes(columns)
+    at = np.flatnonzero(new)
+    return [c[at] for c in columns], np.add.reduceat(n[order], at) if len(at) else n
 
 
 def _vocabulary(attempt: int):
+    """(id, lang, word, n), summed over a task's blocks. Words of one id that a
+    second hash tells apart give two rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[tuple[int, int], list] = {}
+        ids: list[np.ndarray] = []
+        counts: list[np.ndarray] = []
+        known = np.empty(0, np.uint64)          # a task's words, in order of their ids
+        check = np.empty(0, np.uint64)
+        new_ids: list[np.ndarray] = []
+        names: list[tuple[list[str], list[str]]] = []
 
         def out() -> pa.RecordBatch:
-            ids = np.array([k[0] for k in found], np.uint64).view(np.int64)
-            lang, word, n = zip(*found.values())
-            return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(lang, pa.string()), pa.array(word, pa.string()),
-                                               pa.array(n, pa.int64())], ["id", "lang", "word", "n"])
+            nonlocal ids, counts, new_ids, names, known, check
+            spelt = np.concatenate(new_ids)
+            every = np.concatenate(ids)
+            order = np.argsort(every)
+            cut = np.flatnonzero(_changes([every[order]]))
+            total = np.add.reduceat(np.concatenate(counts)[order], cut)
+            # a second word of an id carries no count of its own
+            first = np.unique(spelt, return_index=True)[1]
+            n = np.zeros(len(spelt), np.int64)
+            n[first] = total
+            done = pa.RecordBatch.from_arrays([
+                pa.array(spelt.view(np.int64)), pa.array([x for a, _ in names for x in a], pa.string()),
+                pa.array([x for _, b in names for x in b], pa.string()), pa.array(n)], ["id", "lang", "word", "n"])
+            ids, counts, new_ids, names = [], [], [], []
+            known = check = np.empty(0, np.uint64)
+            return done
 
         for langs, texts in _texts(batches):
             t = _Tokens(langs, texts, _seed(attempt))
             if not len(t.ids):
                 continue
             second = t.hash(SEEDS[1])
-            order = np.lexsort((second, t.ids))
-            cut = _runs([t.ids[order], second[order]])
-            for a, n in zip(order[cut[:-1]], np.diff(cut).tolist()):
-                key = (int(t.ids[a]), int(second[a]))
-                row = found.get(key)
-                if row is None:
-                    found[key] = [langs[t.lang[a]], t.word(a), n]
-                else:
-                    row[2] += n
-            if len(found) > 200_000:
+            order = np.argsort(t.ids)
+            new = _changes([t.ids[order], second[order]])
+            if new.sum() > _changes([t.ids[order]]).sum():
+                order = np.lexsort((second, t.ids))
+                new = _changes([t.ids[order], second[order]])
+            at = order[new]                     # one token of each word
+            first = _changes([t.ids[at]])       # ... and of each id
+            starts = np.flatnonzero(new)[first]
+            ids.append(t.ids[at[first]])
+            counts.append(np.diff(np.append(starts, len(order))))
+            place = np.minimum(np.searchsorted(known, t.ids[at]), max(len(known) - 1, 0))
+            old = (known[place] == t.ids[at]) & (check[place] == second[at]) if len(known) else np.zeros(len(at), bool)
+            at = at[~old]
+            new_ids.append(t.ids[at])
+            names.append(([langs[x] for x in t.lang[at].tolist()], t.spelt(at)))
+            place = np.searchsorted(known, t.ids[at])
+            known, check = np.insert(known, place, t.ids[at]), np.insert(check, place, second[at])
+            if len(known) > WORDS_HELD:
                 yield out()
-                found.clear()
-        if found:
+        if ids:
             yield out()
     return run
 
 
-STRIPES = "w1 long, w2 long, w3 long, seg int, next array<long>, n array<long>"
+STRIPES = "bucket int, w1 array<long>, w2 array<long>, w3 array<long>, many array<int>, next array<long>, n array<long>"
 
 
-def _stripes(size: int, attempt: int, frequent_of, bits: int, hot: np.ndarray):
-    """Stripes of the frequent prefixes of ``size`` words, merged over a task's blocks."""
-    def batch(columns: list[np.ndarray], n: np.ndarray) -> pa.RecordBatch:
+def _stripes(size: int, attempt: int, frequent_of, bits: int, hot: np.ndarray, buckets: int):
+    """Stripes of the frequent prefixes of ``size`` words, merged over a task's blocks. A row
+    holds all the task's stripes of one bucket: the prefixes, how many words follow
+    each, and these with their counts."""
+    def rows(columns: list[np.ndarray], n: np.ndarray) -> pa.RecordBatch:
         *prefix, follow = columns
-        seg = np.where(np.isin(_phrase_hash(prefix), hot), (mixed(follow) % U(SEGMENTS)).astype(np.int32), np.int32(0))
-        order = np.lexsort((seg, *prefix[::-1]))
-        prefix, follow, seg, n = [c[order] for c in prefix], follow[order], seg[order], n[order]
-        cut = _runs([*prefix, seg])
-        zeros = np.zeros(len(cut) - 1, np.int64)
-        keys = [pa.array(c[cut[:-1]].view(np.int64)) for c in prefix] + [pa.array(zeros)] * (3 - size)
-        lists = [pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(x))
-                 for x in (follow.view(np.int64), n)]
-        return pa.RecordBatch.from_arrays([*keys, pa.array(seg[cut[:-1]]), *lists],
-                                          [*KEYS, "seg", "next", "n"])
+        key = _phrase_hash(prefix)
+        # a hot prefix is dealt by the words that follow as well
+        cut = np.isin(key, hot)
+        key[cut] += U(1) + mixed(follow[cut]) % U(SEGMENTS)
+        bucket = (mixed(key) % U(buckets)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        prefix, follow, n, bucket = [c[order] for c in prefix], follow[order], n[order], bucket[order]
+        of_bucket = _changes([bucket])
+        of_stripe = of_bucket | _changes(prefix)
+        stripes, starts = np.flatnonzero(of_stripe), np.flatnonzero(of_bucket)
+        lists = lambda cuts, x: pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(x))
+        per_stripe = np.append(np.searchsorted(stripes, starts), len(stripes))
+        per_word = np.append(starts, len(n))
+        none = lists(np.zeros(len(starts) + 1, np.int32), np.empty(0, np.int64))
+        keys = [lists(per_stripe, c[stripes].view(np.int64)) for c in prefix] + [none] * (3 - size)
+        many = np.diff(np.append(stripes, len(n))).astype(np.int32)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(bucket[starts]), *keys, lists(per_stripe, many), lists(per_word, follow.view(np.int64)),
+             lists(per_word, n)], ["bucket", *KEYS, "many", "next", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = lambda columns: sketch.test(frequent_of.value, _phrase_hash(columns), bits=bits)
-        parts: list[list[np.ndarray]] = []
+        parts: list[tuple[list[np.ndarray], np.ndarray]] = []
         held = 0
-
-        def merged() -> pa.RecordBatch:
-            columns = [np.concatenate(c) for c in zip(*parts)]
-            return batch(*_summed(columns, np.ones(len(columns[0]), np.int64)))
-
         for langs, texts in _texts(batches):
             t = _Tokens(langs, texts, _seed(attempt))
             many = len(t.ids) - size + 1
             if many <= 0:
                 continue
             grams = [t.ids[k:k + many] for k in range(size)]
-            good = (t.piece[:many] == t.piece[size - 1:]) & frequent(grams)
+            good = t.piece[:many] == t.piece[size - 1:]
+            good[good] = frequent([g[good] for g in grams])
             follow = np.zeros(many, np.uint64)
             on = good[:-1] & good[1:] & (t.piece[:many - 1] == t.piece[size:])
             follow[:-1][on] = t.ids[size:][on]
-            parts.append([*(g[good] for g in grams), follow[good]])
-            held += int(good.sum())
+            parts.append(([*(g[good] for g in grams), follow[good]], np.ones(int(good.sum()), np.int64)))
+            held += len(parts[-1][1])
             if held > HELD:
-                yield merged()
-                parts, held = [], 0
-        if held:
-            yield merged()
+                parts = [_joined(parts)]
+                held = 0 if len(parts[0][1]) < HELD else len(parts[0][1])
+                if held:
+                    yield rows(*parts[0])
+                    parts, held = [], 0
+        if parts:
+            columns, n = _joined(parts)
+            if len(n):
+                yield rows(columns, n)
     return run
 
 
+def _joined(parts: list[tuple[list[np.ndarray], np.ndarray]]) -> tuple[list[np.ndarray], np.ndarray]:
+    return _summed([np.concatenate(c) for c in zip(*(p[0] for p in parts))], np.concatenate([p[1] for p in parts]))
+
+
 MERGED = "w1 long, w2 long, w3 long, next long, n long, top long"
 
 
 def _merge(size: int, least: int):
-    """Stripes in order of their prefixes, merged elementwise. Per stripe one row of
-    word 0 with its total and its largest extension, and its frequent extensions."""
+    """The rows of each bucket (they come one after the other), merged elementwise. Per
+    stripe one row of word 0 with its total and its largest extension, and its
+    frequent extensions."""
     def out(columns: list[np.ndarray], n: np.ndarray) -> pa.RecordBatch:
         *prefix, follow = columns
-        cut = _runs(prefix)
-        total = np.add.reduceat(n, cut[:-1])
+        cut = np.flatnonzero(_changes(prefix))
+        total = np.add.reduceat(n, cut)
         extends = (follow != 0) & (n >= least)
-        top = np.maximum.reduceat(np.where(extends, n, 0), cut[:-1])
-        keys = [np.concatenate((c[cut[:-1]], c[extends])).view(np.int64) for c in prefix]
+        top = np.maximum.reduceat(np.where(extends, n, 0), cut)
+        keys = [np.concatenate((c[cut], c[extends])).view(np.int64) for c in prefix]
         many, some = len(total), int(extends.sum())
         keys += [np.zeros(many + some, np.int64)] * (3 - size)
         return pa.RecordBatch.from_arrays([pa.array(x) for x in (
@@ -245,31 +322,20 @@ def _merge(size: int, least: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[tuple[list[np.ndarray], np.ndarray]] = []
-        held = 0
+        held, last = 0, None
         for b in batches:
-            lists = b.column(4)
-            many = np.diff(lists.offsets.to_numpy())
-            key = lambda i: np.repeat(b.column(i).to_numpy().view(np.uint64), many)
-            # flatten() honours the offsets of a sliced batch
-            parts.append(([*(key(i) for i in range(size)), lists.flatten().to_numpy().view(np.uint64)],
-                          b.column(5).flatten().to_numpy()))
-            held += int(many.sum())
-            if held > HELD:
-                columns, n = _summed([np.concatenate(c) for c in zip(*(p[0] for p in parts))],
-                                     np.concatenate([p[1] for p in parts]))
-                # rows come in signed order; the prefix of the last row may go on
-                tail = np.ones(len(n), bool)
-                for c, last in zip(columns, [p[-1] for p in parts[-1][0][:-1]]):
-                    tail &= c == last
-                if not tail.all():
-                    yield out([c[~tail] for c in columns], n[~tail])
-                parts = [([c[tail] for c in columns], n[tail])]
-                held = 0 if tail.sum() > HELD // 2 else int(tail.sum())
+            for k, bucket in enumerate(b.column(0).to_pylist()):
+                row = lambda i: b.column(i)[k].values.to_numpy()
+                if bucket != last and held > HELD:
+                    yield out(*_joined(parts))
+                    parts, held = [], 0
+                last = bucket
+                many = row(4)
+                parts.append(([*(np.repeat(row(i).view(np.uint64), many) for i in range(1, size + 1)),
+                               row(5).view(np.uint64)], row(6)))
+                held += len(row(6))
         if parts:
-            columns, n = _summed([np.concatenate(c) for c in zip(*(p[0] for p in parts))],
-                                 np.concatenate([p[1] for p in parts]))
-            if len(n):
-                yield out(columns, n)
+            yield out(*_joined(parts))
     return run
 
 
@@ -303,9 +369,10 @@ def _level(slim: DataFrame, size: int, attempt: int, frequent: DataFrame, total:
     # words that hold 1 / HOT of all words are at most HOT; longer phrases as well
     hot = frequent.where(F.col("n") * HOT >= total).select(*KEYS[:size]).collect()
     columns = [np.array([r[i] for r in hot], np.int64).view(np.uint64) for i in range(size)]
-    rows = slim.mapInArrow(_stripes(size, attempt, bitmap, bits, _phrase_hash(columns)), STRIPES)
-    # the segments of a hot prefix are merged apart and summed afterwards
-    return stored(rows.repartition(*KEYS, "seg").sortWithinPartitions(*KEYS, "seg")
+    buckets = max(LEAST_BUCKETS, total // PER_BUCKET)
+    rows = slim.mapInArrow(_stripes(size, attempt, bitmap, bits, _phrase_hash(columns), buckets), STRIPES)
+    # what falls to the segments of a hot prefix is summed afterwards
+    return stored(rows.repartition("bucket").sortWithinPartitions("bucket")
                   .mapInArrow(_merge(size, least), MERGED), f"collocation-stripes{size}")
 
 
@@ -370,7 +437,7 @@ def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, to
             F.collect_list(F.struct("at", "word"))), lambda x: x["word"]), " ").alias("phrase"))
     order = [F.col("best.score").desc(), F.col("a").desc(), F.col("phrase")]
     # ranked in two rounds, so that no task orders a whole language
-    first = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(BUCKETS))).orderBy(*order)
+    first = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(ROUNDS))).orderBy(*order)
     some = spelt.withColumn("place", F.row_number().over(first)).where(F.col("place") <= top)
     ranked = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")) \
         .where(F.col("rank") <= top)

@@ -48,10 +48,34 @@ def test_blocks_merges_and_hot_segments_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(C, "HELD", 300)          # reaches the tasks with their functions
     monkeypatch.setattr(C, "HOT", 10_000)
     assert rows(C.collocations(df)) == brute.collocations(corpus)
-    batches = lambda: iter(_sorted_stripes())
-    whole = [x for b in C._merge(1, 2)(batches()) for x in b.to_pylist()]
-    assert sum(x["n"] for x in whole if x["next"] == 0) == 3600
-    assert {x["w1"] for x in whole} == {1, 3, 5}
+    import pyarrow as pa
+    batches = [pa.RecordBatch.from_arrays([
+        pa.array([k // 2], pa.int32()), pa.array([[1, 3]]), pa.array([[]], pa.list_(pa.int64())), pa.array([[]], pa.list_(pa.int64())),
+        pa.array([[3, 300]], pa.list_(pa.int32())), pa.array([[7, 8, 0, *range(300)]]), pa.array([[5, 1, 2, *[1] * 300]])],
+        ["bucket", *C.KEYS, "many", "next", "n"]) for k in range(4)]
+    got = [tuple(x.values()) for b in C._merge(1, 4)(iter(batches)) for x in b.to_pylist()]
+    # (w1, w2, w3, next, n, top) of two buckets of two tasks each
+    want = [(1, 0, 0, 0, 16, 10), (3, 0, 0, 0, 600, 0), (1, 0, 0, 7, 10, 0)]
+    assert sorted(got) == sorted(want * 2)
+
+
+def test_rows_that_share_a_hash_are_summed_apart(monkeypatch):
+    import numpy as np
+    monkeypatch.setattr(C, "mixed", lambda x: x & np.uint64(3))
+    rng = np.random.default_rng(3)
+    columns = [rng.integers(1, 9, 500).astype(np.uint64) for _ in range(3)]
+    got, n = C._summed(columns, np.ones(500, np.int64))
+    want = np.unique(np.stack(columns), axis=1, return_counts=True)
+    assert sorted(zip(*(c.tolist() for c in got), n.tolist())) == sorted(zip(*want[0].tolist(), want[1].tolist()))
+
+
+def test_word_hashes_follow_the_bytes():
+    import numpy as np
+    words = ["a", "ab", "abcdefgh", "abcdefghi", "x" * 63, "x" * 64, "x" * 65, "x" * 66, "é", "a\0", "abcdefgh" * 3, "abcdefgh" * 2]
+    t = C._Tokens(["en"], [" ".join(words + words[::-1]).encode()], 7)
+    h = t.ids.tolist()
+    assert h[:len(words)] == h[len(words):][::-1] and len(set(h)) == len(words)
+    assert t.spelt(np.arange(len(words))) == words
 
 
 def test_long_texts_are_cut_at_breaks(monkeypatch):
@@ -65,15 +89,6 @@ def test_long_texts_are_cut_at_breaks(monkeypatch):
     assert all(p[-1:] in (b".", b",", b"\n", b"\x0b") for p in parts[:-1])
 
 
-def _sorted_stripes():
-    import pyarrow as pa
-    for w in (1, 1, 3, 5):
-        n = 300 if w > 1 else 150
-        yield pa.RecordBatch.from_arrays([
-            pa.array([w] * 4), pa.array([0] * 4), pa.array([0] * 4), pa.array([0] * 4, pa.int32()),
-            pa.array([list(range(n))] * 4), pa.array([[1] * n] * 4)], ["w1", "w2", "w3", "seg", "next", "n"])
-
-
 def test_a_hash_shared_by_two_words_is_noticed(spark, monkeypatch):
     """With two words of one id in the first seed, the next seed is taken."""
     corpus = [("en", "alpha beta gamma. " * 40), ("en", "alpha delta gamma. " * 35)]
