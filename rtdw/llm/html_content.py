@@ -375,8 +375,13 @@ def fit(pages: list[str], rounds: int = ROUNDS, pull: float = 0.01, pull_pairs:
 def train(pages: DataFrame, sample: int = SAMPLE, largest: int = LARGEST, rounds: int = ROUNDS) -> np.ndarray:
     """Fit on the labelled pages of smallest hash (bounded, see above)."""
     source = pages["html"].cast("string")
-    some = pages.where(source.rlike(r"(?i)<(article|main)[\s>]") & (F.length(source) <= largest)).select(
-        source.alias("html")).orderBy(F.xxhash64("html"), "html").limit(sample)
+    marked = pages.where(source.rlike(r"(?i)<(article|main)[\s>]") & (F.length(source) <= largest)).select(
+        source.alias("html"), F.xxhash64(source).alias("hash"))
+    # hashes first, so that no more than the sample reaches the driver; copies count once
+    last = marked.select("hash").distinct().orderBy("hash").limit(sample).agg(F.max("hash")).first()[0]
+    if last is None:
+        return fit([], rounds)
+    some = marked.where(F.col("hash") <= last).groupBy("hash").agg(F.min("html").alias("html")).orderBy("hash")
     return fit([r["html"] for r in some.collect()], rounds)
 
 
