@@ -8,8 +8,9 @@ count estimates the similarity, precisely where that is high. Candidates
 whose estimate stays below the threshold by more than 3.5 deviations are dropped,
 the others are confirmed on full shingle sets.
 
-Texts of equal sets are one class from the start (its least doc_id stands for it),
-so copies cost nothing further. Links between classes:
+Texts of equal sets are one class from the start, known by a number of its own, so
+copies cost nothing further. Rows of one doc_id whose sets differ link their classes.
+Links between classes:
 
 1. every class meets, in its bands, the least class of the bucket (the hub); the
    hub with the nearest sketch is confirmed. That is one pair per class,
@@ -25,7 +26,8 @@ to the scan by a fixed-size bit array. Nothing per document reaches the driver.
 
 Defined results: a null or blank text has an empty set, is linked with nothing and
 is its own component; fewer than five words are one shingle; rows that share a
-doc_id are one document (each row gets its component); null ids come last and stand
+doc_id are one document, whatever their texts (what is near any of them is linked with
+it; each row gets its component); rows without an id stand
 for themselves (component null, kept); an empty table gives an empty table;
 clashing extra columns are harmless (only the id and the text are read).
 """
@@ -48,7 +50,6 @@ SHINGLE = 5
 SAMPLES = 512
 BANDS, BAND_ROWS = 32, 4          # of the first 128 samples
 ODD_BITS = 2048
-LAST = (1 << 63) - 1
 
 _A = (mixed(np.arange(1, SAMPLES + 1, dtype=np.uint64) * U(SEEDS[0])) >> U(32)).astype(np.uint32) | np.uint32(1)
 _B = (mixed(np.arange(1, SAMPLES + 1, dtype=np.uint64) * U(SEEDS[1])) >> U(32)).astype(np.uint32)
@@ -114,21 +115,30 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in range(1, BAND_ROWS):
             key = mixed(key * U(SEEDS[0]) + bands[:, :, r])
         yield pa.RecordBatch.from_arrays([
-            b.column(0), pa.array([len(s) for s in sets], pa.int64()),
+            b.column(0), b.column(2), pa.array([len(s) for s in sets], pa.int64()),
             pa.array(np.array([mixed(s).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)),
             pa.array(np.array([mixed(s ^ U(SEEDS[1])).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)),
-            _lists(key), _lists(odd)], ["id", "n_shingles", "k1", "k2", "bands", "odd"])
+            _lists(key), _lists(odd)], ["id", "digest", "n_shingles", "k1", "k2", "bands", "odd"])
+
+
+def _row_keys(ids: pa.Array, digests: pa.Array) -> np.ndarray:
+    read = lambda x: x.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+    return mixed(mixed(read(ids)) ^ read(digests))
+
+
+def _wanted_keys(b: pa.RecordBatch) -> np.ndarray:
+    return _row_keys(b.column(0), b.column(1))
 
 
 def _set_rows(wanted):
-    """(id, set) for documents whose id may stand in a candidate pair."""
+    """(id, digest, set) for rows that may stand for a class of a candidate pair."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, 1):
-            ids = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            some = b.filter(pa.array(sketch.test(wanted.value, mixed(ids))))
+            some = b.filter(pa.array(sketch.test(wanted.value, _row_keys(b.column(0), b.column(2)))))
             sets = _sets(_texts(some.column(1)))
             yield pa.RecordBatch.from_arrays([
-                some.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "shingles"])
+                some.column(0), some.column(2), pa.array([s.tobytes() for s in sets], pa.binary())],
+                ["id", "digest", "shingles"])
     return run
 
 
@@ -144,10 +154,6 @@ def _confirm(percent: int):
     return run
 
 
-def _id_keys(b: pa.RecordBatch) -> np.ndarray:
-    return mixed(b.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
-
-
 def _difference(p: str, q: str) -> Column:
     total = F.lit(0)
     for i in range(ODD_BITS // 64):
@@ -169,41 +175,56 @@ def _first_common(p: str, q: str) -> Column:
     return out
 
 
-def confirmed(slim: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets reach ``percent``."""
-    ids = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct()
-    wanted = slim.sparkSession.sparkContext.broadcast(sketch.bit_array(sketch.build(ids, _id_keys), 1))
-    sets = stored(slim.mapInArrow(_set_rows(wanted), "id long, shingles binary")
-                  .join(ids.withColumnRenamed("a", "id"), "id", "left_semi").dropDuplicates(["id"]), "minhash-sets")
-    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
+def confirmed(slim: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes whose full shingle sets reach ``percent``."""
+    ids = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
+    rows = stored(classes.select("rep", "row.id", "row.digest").join(ids, "rep", "left_semi"), "minhash-wanted")
+    wanted = slim.sparkSession.sparkContext.broadcast(
+        sketch.bit_array(sketch.build(rows.select("id", "digest"), _wanted_keys), 1))
+    sets = stored(slim.where("id IS NOT NULL").mapInArrow(_set_rows(wanted), "id long, digest long, shingles binary")
+                  .dropDuplicates(["id", "digest"]).join(rows, ["id", "digest"]).select("rep", "shingles"), "minhash-sets")
+    left = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa"))
+    right = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb"))
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb")
     return stored(joined.mapInArrow(_confirm(percent), "a long, b long"), "minhash-links")
 
 
+def _same_document(members: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes of one doc_id; ``members``: (id, rep)."""
+    ends = members.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a <> b")
+    return members.join(ends.select("id", "a"), "id").where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id, kept."""
-    slim = docs.select(F.coalesce(docs["doc_id"].cast("long"), F.lit(LAST)).alias("id"),
-                       docs["text"].cast("string").alias("text"))
+    text = docs["text"].cast("string")
+    slim = docs.select(docs["doc_id"].cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("digest"))
     signed = stored(slim.mapInArrow(
-        _signatures, "id long, n_shingles long, k1 long, k2 long, bands array<long>, odd array<long>"), "minhash-signed")
-    full = signed.where((F.col("n_shingles") > 0) & (F.col("id") < LAST))
+        _signatures, "id long, digest long, n_shingles long, k1 long, k2 long, bands array<long>, odd array<long>"),
+        "minhash-signed")
+    full = signed.where((F.col("n_shingles") > 0) & F.col("id").isNotNull())
+    # numbered as they are written; the row of least id stands for the class
     classes = stored(full.groupBy("n_shingles", "k1", "k2").agg(
-        F.min("id").alias("rep"), F.first("bands").alias("bands"), F.first("odd").alias("odd")), "minhash-classes")
+        F.min(F.struct("id", "digest")).alias("row"), F.first("bands").alias("bands"), F.first("odd").alias("odd"))
+        .withColumn("rep", F.monotonically_increasing_id()), "minhash-classes")
 
     limit = odd_limit(percent / 100)
     keys = classes.select("rep", F.posexplode("bands").alias("band", "key"))
     buckets = keys.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("other")).where("hub <> other")
     buckets = stored(buckets.select("key", "hub"), "minhash-buckets")
     met = keys.join(buckets, "key").where("rep <> hub").select("rep", "hub").distinct()
-    odd = classes.groupBy("rep").agg(F.first("odd").alias("odd"), F.first("n_shingles").alias("size"),
-                                     F.first(F.transform("bands", lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF).cast("long")).cast("int"))).alias("low"))
+    low = F.transform("bands", lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF).cast("long")).cast("int"))
+    odd = classes.select("rep", "odd", F.col("n_shingles").alias("size"), low.alias("low"))
     hubs = odd.select(F.col("rep").alias("hub"), F.col("odd").alias("hub_odd"), F.col("size").alias("hub_size"))
     near = (met.join(odd.drop("low"), "rep").join(hubs, "hub").where(_sizes_fit("size", "hub_size", percent))
             .withColumn("differ", _difference("odd", "hub_odd")).where(F.col("differ") <= limit))
     best = near.groupBy("rep").agg(F.min(F.struct("differ", "hub")).alias("m"))
     first = stored(best.select(F.col("m")["hub"].alias("a"), F.col("rep").alias("b")), "minhash-hubs")
-    links = confirmed(slim, first, percent)
+    number = ["n_shingles", "k1", "k2"]
+    several = full.groupBy("id").agg(F.min(F.struct(*number)).alias("x"), F.max(F.struct(*number)).alias("y")).where("x <> y")
+    members = full.select("id", *number).join(several.select("id"), "id", "left_semi").join(
+        classes.select("rep", *number), number).select("id", "rep")
+    links = stored(confirmed(slim, classes, first, percent).unionByName(_same_document(members)), "minhash-first")
 
     # what the hubs leave apart: bucket mates of different components
     label = components(links, "a", "b")
@@ -219,19 +240,25 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
         (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _sizes_fit("na", "nb", percent)
         & (_first_common("la", "lb") == F.col("band")) & (_difference("oa", "ob") <= limit))
     second = stored(across.select("a", "b").distinct().join(first, ["a", "b"], "left_anti"), "minhash-across")
-    more = confirmed(slim, second, percent)
+    more = confirmed(slim, classes, second, percent)
 
     label = components(links.unionByName(more), "a", "b")
-    # a component's least representative is its least doc_id: each class is
-    # represented by its own least
-    by_class = classes.join(label, F.col("rep") == F.col("node"), "left").select(
-        "n_shingles", "k1", "k2", F.coalesce("component", "rep").alias("component"))
-    rows = signed.select("id", "n_shingles", "k1", "k2").join(by_class, ["n_shingles", "k1", "k2"], "left")
-    component = F.coalesce("component", "id")
-    null_id = F.col("id") == LAST
-    return rows.select(
-        F.when(~null_id, F.col("id")).alias("doc_id"), "n_shingles",
-        F.when(~null_id, component).alias("component_id"), (null_id | (component == F.col("id"))).alias("kept"))
+    by_class = stored(classes.select("rep", "row.id", *number).join(label, F.col("rep") == F.col("node"), "left").select(
+        *number, "id", F.coalesce("component", "rep").alias("component")), "minhash-components")
+    # a component is named by its least doc_id
+    names = by_class.groupBy("component").agg(F.min("id").alias("least"))
+    by_class = by_class.join(names, "component").select(*number, "least")
+    rows = signed.select("id", *number)
+    found = rows.where((F.col("n_shingles") > 0) & F.col("id").isNotNull()).join(by_class, number).select(
+        "id", "n_shingles", "least")
+    # a row without words goes with its document's other rows
+    blank = rows.where((F.col("n_shingles") == 0) & F.col("id").isNotNull()).select("id", "n_shingles")
+    others = found.join(blank.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.min("least").alias("least"))
+    alone = rows.where(F.col("id").isNull()).select("id", "n_shingles", F.lit(None).cast("long").alias("least"))
+    component = F.coalesce("least", "id")
+    return found.unionByName(blank.join(others, "id", "left")).unionByName(alone).select(
+        F.col("id").alias("doc_id"), "n_shingles", component.alias("component_id"),
+        (F.col("id").isNull() | (component == F.col("id"))).alias("kept"))
 
 
 def keep_one(docs: DataFrame, percent: int = 75) -> DataFrame:

@@ -40,7 +40,7 @@ def items():
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 # extra columns whose names operators use inside
-CLASH = ["size", "shard", "slot", "copies", "id", "key", "n", "word.count", "_quality", "_copies", "words"]
+CLASH = ["_s", "_b", "_start", "digest", "text_key", "rep", "start", "size", "shard", "slot", "copies", "id", "key", "n", "word.count", "_quality", "_copies", "words"]
 
 
 @pytest.fixture(scope="session")

@@ -298,3 +298,57 @@ def test_quality_rules(docs, empty, corpus):
     kept = quality_rules.keep_good(docs)
     assert kept.columns == docs.columns and kept.count() == out.where("verdict.kept").count()
     assert quality_rules.judge(empty).count() == 0
+
+
+def _words(tag, n, changed=()):
+    return " ".join(f"{tag}x{i}" if i in changed else f"{tag}{i}" for i in range(n))
+
+
+REPEATED = [(1, _words("a", 60)), (1, _words("b", 60)), (5, _words("a", 60, {50})), (6, _words("b", 60, {3})),
+            (2, _words("c", 40)), (7, _words("c", 40)), (7, ""), (7, None), (8, ""), (None, _words("d", 30)),
+            (None, _words("d", 30) + " " + _words("r", 30)), (None, _words("r", 30)), ((1 << 63) - 1, _words("e", 40)),
+            (9, _words("e", 40)), (11, _words("p", 30) + " " + _words("q", 30)), (12, _words("q", 30)),
+            (12, _words("s", 30)), (12, _words("p", 30))]
+
+
+def test_near_duplicates_of_repeated_ids(spark):
+    """Rows of one id with different texts are one document: what is near either
+    is linked; the largest id is an id."""
+    df = spark.createDataFrame(REPEATED, "doc_id long, text string").repartition(4)
+    got = rows(minhash_dedup.near_duplicates(df), "doc_id", "n_shingles", "component_id", "kept")
+    assert got == sorted(brute.near_duplicates(REPEATED), key=repr)
+    assert {(r[0], r[2]) for r in got if r[0] in (1, 5, 6, 7)} == {(1, 1), (5, 1), (6, 1), (7, 2)}
+
+
+def test_substring_dedup_of_repeated_and_null_ids(spark):
+    """Positions found in one row are not applied to another row of its id."""
+    df = spark.createDataFrame(REPEATED, "doc_id long, text string").repartition(4)
+    got = rows(substring_dedup.dedup(df), "doc_id", "n_words", "n_removed", "kept_sha256")
+    assert got == sorted(brute.substring_dedup(REPEATED), key=repr)
+
+
+def test_empty_and_clashing_columns_in_all(docs, empty):
+    assert sharding.shard_plan(docs, keep=True).count() == docs.count()
+    assert sharding.shard_plan(empty, keep=True).count() == 0
+
+
+def test_secret_patterns_are_linear():
+    import time
+    for text in ("http://x " + "n" * 1_000_000, "eyJ" * 300_000, "a.b+c-1" * 150_000, "x://" * 200_000, "authorization:" * 80_000,
+                 "-----BEGIN " * 90_000, "password " * 100_000):
+        t = time.time()
+        secrets.spans_of([text])
+        assert time.time() - t < 2.5, text[:12]
+    names = [r.kind for r in secrets.RULES]
+    at = names.index("url_login")
+    text = "see 1ftp://me:pw@host and x-a+b.c://u:p@h é https://a@b"
+    assert [(text[s:e]) for s, k, e in secrets.spans_of([text])[0] if k == at] == ["ftp://me:pw@", "x-a+b.c://u:p@"]
+
+
+def test_postings_across_blocks(monkeypatch):
+    texts = [b"xxghp_", b"", b"akia", b"ab", b"pakiaghp_" * 9]
+    want = {k: v.tolist() for k, v in secrets.postings(texts, [b"ghp", b"aki", b"zzz"]).items()}
+    assert want == {b"ghp": [0, 4], b"aki": [2, 4], b"zzz": []}
+    for block in (1, 2, 5, 7):
+        monkeypatch.setattr(secrets, "BLOCK", block)
+        assert {k: v.tolist() for k, v in secrets.postings(texts, [b"ghp", b"aki", b"zzz"]).items()} == want
