@@ -18,9 +18,9 @@ So a group of copies that holds a third of the corpus costs one representative.
 The bit arrays that are broadcast have a fixed size, not the corpus's.
 
 Defined results: a null or blank text has no words (the hash is that of the empty
-text); rows that share a doc_id count as one document, and a start is earlier
-only if its doc_id or its position is smaller, so repeated rows keep their words;
-null ids come last, as one document; an empty table gives an empty table;
+text); a start is earlier only if its doc_id or its position is smaller, so
+repeated rows keep their words, but each row has its own windows: rows are known by id and
+text; null ids come last, as one document; an empty table gives an empty table;
 clashing extra columns are harmless (only the id and the text are read).
 """
 
@@ -31,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rtdw.llm import sketch
@@ -39,7 +39,9 @@ from rtdw.llm.common import pieces, stored, words_of
 from rtdw.llm.wordhash import SEEDS, U, Words, mixed
 
 WINDOW = 20
-LAST = (1 << 63) - 1
+# a row of ``slim``: no id, id (0 if none), text and its digest
+ROW = ["none", "id", "digest"]
+TEXT = 3
 
 
 def _texts(column: pa.Array) -> list[bytes]:
@@ -78,7 +80,7 @@ def _whole(w: Words, hashes: np.ndarray) -> np.ndarray:
 
 def _keys(size: int):
     def keys(b: pa.RecordBatch) -> np.ndarray:
-        w = Words(_texts(b.column(1)))
+        w = Words(_texts(b.column(TEXT)))
         h = w.hashes(SEEDS[0])
         return np.concatenate((_whole(w, h), _minimizers(w, h, size)[2]))
     return keys
@@ -87,8 +89,8 @@ def _keys(size: int):
 def _windows(size: int, bits_of, skip_shared: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = bits_of.value
-        for b in pieces(batches, 1):
-            w = Words(_texts(b.column(1)))
+        for b in pieces(batches, TEXT):
+            w = Words(_texts(b.column(TEXT)))
             h = w.hashes(SEEDS[0])
             at, low, _ = _minimizers(w, h, size)
             ok = sketch.test(bits, low)
@@ -99,38 +101,39 @@ def _windows(size: int, bits_of, skip_shared: bool):
             one = w.runs(h, size, SEEDS[0])[at]
             two = w.runs(w.hashes(SEEDS[1]), size, SEEDS[1])[at] >> U(32)
             yield pa.RecordBatch.from_arrays([
-                pa.array(one.view(np.int64)), pa.array(two.astype(np.uint32).view(np.int32)), b.column(0).take(pa.array(doc)),
-                pa.array((at - w.first[doc]).astype(np.int32))], ["h1", "h2", "id", "start"])
+                pa.array(one.view(np.int64)), pa.array(two.astype(np.uint32).view(np.int32)),
+                *(b.column(i).take(pa.array(doc)) for i in range(TEXT)),
+                pa.array((at - w.first[doc]).astype(np.int32))], ["h1", "h2", *ROW, "start"])
     return run
 
 
 def _shared(bits_of):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in pieces(batches, 1):
-            w = Words(_texts(b.column(1)))
+        for b in pieces(batches, TEXT):
+            w = Words(_texts(b.column(TEXT)))
             hit = sketch.test(bits_of.value, _whole(w, w.hashes(SEEDS[0])))
             some = b.filter(pa.array(hit))
-            words = [t.split() for t in _texts(some.column(1))]
+            words = [t.split() for t in _texts(some.column(TEXT))]
             yield pa.RecordBatch.from_arrays([
-                some.column(0), some.column(1), pa.array([len(x) for x in words], pa.int64()),
+                *some.columns, pa.array([len(x) for x in words], pa.int64()),
                 pa.array([hashlib.sha256(b" ".join(x)).hexdigest() for x in words], pa.string())],
-                ["id", "text", "n_words", "whole"])
+                [*ROW, "text", "n_words", "whole"])
     return run
 
 
 def _flagged(bits_of, ids_of, flagged: bool):
-    """Texts of their own whose id may have repeated starts, or all others."""
+    """Texts of their own whose row may have repeated starts, or all others."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in pieces(batches, 1):
-            w = Words(_texts(b.column(1)))
-            ids = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            hit = sketch.test(ids_of.value, mixed(ids))
+        for b in pieces(batches, TEXT):
+            w = Words(_texts(b.column(TEXT)))
+            hit = sketch.test(ids_of.value, _row_keys(b))
             yield b.filter(pa.array((hit == flagged) & ~sketch.test(bits_of.value, _whole(w, w.hashes(SEEDS[0])))))
     return run
 
 
-def _id_keys(b: pa.RecordBatch) -> np.ndarray:
-    return mixed(b.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
+def _row_keys(b: pa.RecordBatch) -> np.ndarray:
+    read = lambda i: b.column(i).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+    return mixed(mixed(read(1)) ^ read(2))
 
 
 def _kept(size: int):
@@ -138,7 +141,7 @@ def _kept(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, removed, hashes, kept = [], [], [], []
-            for t, s in zip(_texts(b.column(1)), b.column(2).to_pylist()):
+            for t, s in zip(_texts(b.column(2)), b.column(3).to_pylist()):
                 words = left = t.split()
                 if s:
                     cover = np.zeros(len(words) + 1, np.int32)
@@ -154,54 +157,56 @@ def _kept(size: int):
                 hashes.append(hashlib.sha256(joined).hexdigest())
                 kept.append(joined.decode("utf-8", "replace"))
             yield pa.RecordBatch.from_arrays([
-                b.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()),
+                b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(removed, pa.int64()),
                 pa.array(hashes, pa.string()), pa.array(kept, pa.string())],
-                ["id", "n_words", "n_removed", "kept_sha256", "kept_text"])
+                ["none", "id", "n_words", "n_removed", "kept_sha256", "kept_text"])
     return run
 
 
-KEPT = "id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
+KEPT = "none boolean, id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
 
 
-def _id(docs: DataFrame) -> Column:
-    return F.coalesce(docs["doc_id"].cast("long"), F.lit(LAST))
+SLIM = "none boolean, id long, digest long, text string"
 
 
 def dedup(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     """Per row: doc_id, n_words, n_removed, kept_sha256 and kept_text (the words
     that stay, joined by one space)."""
     context = docs.sparkSession.sparkContext
-    slim = docs.select(_id(docs).alias("id"), docs["text"].cast("string").alias("text"))
-    bits = context.broadcast(sketch.bit_array(sketch.build(slim, _keys(size), text=1), 2))
+    id_, text = docs["doc_id"].cast("long"), docs["text"].cast("string")
+    slim = docs.select(id_.isNull().alias("none"), F.coalesce(id_, F.lit(0)).alias("id"),
+                       F.xxhash64(text).alias("digest"), text.alias("text"))
+    bits = context.broadcast(sketch.bit_array(sketch.build(slim, _keys(size), text=TEXT), 2))
+    place = lambda *more: F.struct("none", "id", *more)
 
     # texts that may be copies: classed exactly by their whole word sequence
-    copies = stored(slim.mapInArrow(_shared(bits), "id long, text string, n_words long, whole string"),
-                    "substring-copies")
-    first = copies.groupBy("whole").agg(F.min("id").alias("first_id"))
+    copies = stored(slim.mapInArrow(_shared(bits), f"{SLIM}, n_words long, whole string"), "substring-copies")
+    # stored, so that the join reads two plain exchanges and a hot group can be split
+    first = stored(copies.groupBy("whole").agg(F.min(place()).alias("first")), "substring-firsts")
     classed = copies.join(first, "whole")
-    firsts = classed.where(F.col("id") == F.col("first_id")).select("id", "text")
-    later = classed.where(F.col("id") > F.col("first_id"))
+    firsts = classed.where(place() == F.col("first")).select(*ROW, "text")
+    later = classed.where(place() > F.col("first"))
     gone = F.col("n_words") >= size
     later = later.select(
-        "id", "n_words", F.when(gone, F.col("n_words")).otherwise(F.lit(0)).cast("long").alias("n_removed"),
+        "none", "id", "n_words", F.when(gone, F.col("n_words")).otherwise(F.lit(0)).cast("long").alias("n_removed"),
         F.when(gone, F.lit(hashlib.sha256(b"").hexdigest())).otherwise(F.col("whole")).alias("kept_sha256"),
         F.when(gone, F.lit("")).otherwise(F.array_join(words_of(F.coalesce("text", F.lit(""))), " ")).alias("kept_text"))
 
-    rows = "h1 long, h2 int, id long, start int"
+    rows = "h1 long, h2 int, none boolean, id long, digest long, start int"
     # not stored: hashing again is cheaper than a table of random hashes
     windows = slim.mapInArrow(_windows(size, bits, True), rows).unionByName(
         firsts.mapInArrow(_windows(size, bits, False), rows))
-    earliest = windows.groupBy("h1", "h2").agg(
-        F.min(F.struct("id", "start")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    repeats = windows.join(earliest, ["h1", "h2"]).where(F.struct("id", "start") > F.col("first"))
+    earliest = stored(windows.groupBy("h1", "h2").agg(
+        F.min(place("start")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "substring-earliest")
+    repeats = windows.join(earliest, ["h1", "h2"]).where(place("start") > F.col("first"))
     # one row per document; its positions are bounded by its own length
-    starts = stored(repeats.groupBy("id").agg(F.collect_set("start").alias("starts")), "substring-starts")
-    ids = context.broadcast(sketch.bit_array(sketch.build(starts.select("id"), _id_keys), 1))
-
-    plain = slim.mapInArrow(_flagged(bits, ids, False), "id long, text string").withColumn(
-        "starts", F.lit(None).cast("array<int>"))
-    some = slim.mapInArrow(_flagged(bits, ids, True), "id long, text string").unionByName(firsts)
-    some = some.join(starts, "id", "left").select("id", "text", "starts")
-    out = plain.mapInArrow(_kept(size), KEPT).unionByName(some.mapInArrow(_kept(size), KEPT)).unionByName(later)
-    return out.select(F.when(F.col("id") < LAST, F.col("id")).alias("doc_id"),
+    starts = stored(repeats.groupBy(*ROW).agg(F.collect_set("start").alias("starts")), "substring-starts")
+    ids = context.broadcast(sketch.bit_array(sketch.build(starts.select(*ROW), _row_keys), 1))
+
+    plain = slim.mapInArrow(_flagged(bits, ids, False), SLIM).withColumn("starts", F.lit(None).cast("array<int>"))
+    some = slim.mapInArrow(_flagged(bits, ids, True), SLIM).unionByName(firsts)
+    some = some.join(starts, ROW, "left")
+    kept = lambda df: df.select("none", "id", "text", "starts").mapInArrow(_kept(size), KEPT)
+    out = kept(plain).unionByName(kept(some)).unionByName(later)
+    return out.select(F.when(~F.col("none"), F.col("id")).alias("doc_id"),
                       "n_words", "n_removed", "kept_sha256", "kept_text")
