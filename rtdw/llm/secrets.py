@@ -5,7 +5,7 @@ match must hold (alternatives and optional characters are written out) give
 trigrams joined by AND, alternatives are joined by OR. ``[0-9a-f]+`` and the like
 hold no mandatory trigram; such rules scan fully.
 
-The index is segmented: every Arrow batch of documents is one segment with its
+The index is segmented: every piece of an Arrow batch (1 MB of texts, one text at least) is one segment with its
 own postings (trigram -> rows of the segment, over case-folded bytes), limited
 to the trigrams that the rules' queries name. A rule's query intersects and
 unites postings; only the rows that remain are verified with the regex. Segments
@@ -28,8 +28,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from rtdw.llm.common import pieces
+
 TRIGRAM = 3
 MOST_STRINGS = 64
+BLOCK = 1 << 20         # bytes of a segment that are looked up at a time
 
 
 @dataclass(frozen=True)
@@ -39,6 +42,7 @@ class Rule:
     ignore_case: bool = False
     group: int = 0        # the group whose length counts
     at_least: int = 0     # shortest length of that group
+    span: int = 0         # the group that is the span
     base: bool = False
 
     def compiled(self) -> re.Pattern:
@@ -54,10 +58,12 @@ RULES = (
     Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]+"),
+    Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]+"),
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
     Rule("bearer", r"authorization:\x20*bearer\x20+[A-Za-z0-9._~+/=-]{16,}", ignore_case=True),
-    Rule("url_login", r"[a-z][a-z0-9+.-]*://[^\x20\x09-\x0D/:@]+:[^\x20\x09-\x0D/:@]+@"),
+    # tried once per run of scheme characters; the scheme begins at its first letter
+    Rule("url_login", r"(?<![a-z0-9+.-])[0-9+.-]*+([a-z][a-z0-9+.-]*+://[^\x20\x09-\x0D/:@]+:[^\x20\x09-\x0D/:@]+@)",
+         span=1),
 )
 
 
@@ -160,19 +166,21 @@ def postings(texts: list[bytes], wanted: list[bytes]) -> dict[bytes, np.ndarray]
     if not texts or not wanted:
         return {t: none for t in wanted}
     # one text after another, parted by a byte that no trigram holds
-    data = _FOLD[np.frombuffer(b"\xff".join(texts), np.uint8)]
+    raw = np.frombuffer(b"\xff".join(texts), np.uint8)
     lengths = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
     ends = np.cumsum(lengths)
-    if data.size < TRIGRAM:
-        return {t: none for t in wanted}
-    codes = (data[:-2] << 16) | (data[1:-1] << 8) | data[2:]
     known = np.zeros(1 << 24, np.uint8)
     for i, t in enumerate(wanted):
         known[(t[0] << 16) | (t[1] << 8) | t[2]] = i + 1
-    which = known[codes]
-    at = np.flatnonzero(which)
-    which, rows = which[at], np.searchsorted(ends, at, side="right")
-    return {t: np.unique(rows[which == i + 1]) for i, t in enumerate(wanted)}
+    found: list[list[np.ndarray]] = [[none] for _ in wanted]
+    for start in range(0, len(raw) - TRIGRAM + 1, BLOCK):
+        data = _FOLD[raw[start:start + BLOCK + TRIGRAM - 1]]
+        which = known[(data[:-2] << 16) | (data[1:-1] << 8) | data[2:]]
+        at = np.flatnonzero(which)
+        which, rows = which[at], np.searchsorted(ends, at + start, side="right")
+        for i in np.unique(which):
+            found[i - 1].append(np.unique(rows[which == i]))
+    return {t: np.unique(np.concatenate(f)) for t, f in zip(wanted, found)}
 
 
 def matching(query: object, index: dict[bytes, np.ndarray], n: int) -> np.ndarray:
@@ -197,7 +205,7 @@ def spans_of(texts: list[str], rules=RULES) -> list[list[tuple[int, int, int]]]:
     for k, (rule, query) in enumerate(zip(rules, queries)):
         pattern = rule.compiled()
         for row in matching(query, index, len(texts)):
-            found[row].extend((m.start(), k, m.end()) for m in pattern.finditer(texts[row])
+            found[row].extend((m.start(rule.span), k, m.end(rule.span)) for m in pattern.finditer(texts[row])
                               if len(m[rule.group]) >= rule.at_least)
     for f in found:
         f.sort()
@@ -206,7 +214,7 @@ def spans_of(texts: list[str], rules=RULES) -> list[list[tuple[int, int, int]]]:
 
 def scanner(rules=RULES) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def scan_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in pieces(batches, 1):
             texts = [t or "" for t in b.column(1).to_pylist()]
             found = spans_of(texts, rules)
             yield pa.RecordBatch.from_arrays([
