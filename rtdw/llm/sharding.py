@@ -93,17 +93,17 @@ def assign(docs: DataFrame, tree: Tree = TREE, key: str = "doc_id", into: str =
 def with_slots(rows: DataFrame, shard: str, order: list[str], into: str = "slot",
                buckets: int = BUCKETS) -> DataFrame:
     """Add ``into``: 0, 1, 2, ... inside each shard, by bucket and then ``order``."""
-    bucket = fresh(rows, "_bucket")
+    bucket, many, s, b, start = (fresh(rows, x) for x in ("_bucket", "_many", "_s", "_b", "_start"))
     rows = rows.withColumn(bucket, F.floor(unit_draw(F.col(order[0]), F.lit("slot")) * buckets).cast("int"))
-    sizes = rows.groupBy(shard, bucket).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = rows.groupBy(shard, bucket).agg(F.count(F.lit(1)).alias(many))
     before = Window.partitionBy(shard).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(F.col(shard).alias("_s"), F.col(bucket).alias("_b"),
-                          F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    starts = sizes.select(F.col(shard).alias(s), F.col(bucket).alias(b),
+                          F.coalesce(F.sum(many).over(before), F.lit(0)).alias(start))
     inside = Window.partitionBy(shard, bucket).orderBy(*order)
     ranked = rows.withColumn(into, F.row_number().over(inside))
     # at most shards x buckets rows: a bounded side
-    joined = ranked.join(F.broadcast(starts), (F.col(shard) == F.col("_s")) & (F.col(bucket) == F.col("_b")), "left")
-    return joined.withColumn(into, (F.col("_start") + F.col(into) - 1).cast("long")).drop("_s", "_b", "_start", bucket)
+    joined = ranked.join(F.broadcast(starts), (F.col(shard) == F.col(s)) & (F.col(bucket) == F.col(b)), "left")
+    return joined.withColumn(into, (F.col(start) + F.col(into) - 1).cast("long")).drop(s, b, start, bucket)
 
 
 def shard_plan(docs: DataFrame, tree: Tree = TREE, key: str = "doc_id", text: str = "text",
