@@ -31,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,9 +40,10 @@ from rtdw.llm.common import pieces, stored, words_of
 from rtdw.llm.wordhash import SEEDS, U, Words, mixed
 
 WINDOW = 20
-# a row of ``slim``: no id, id (0 if none), text and its digest
-ROW = ["none", "id", "digest"]
-TEXT = 3
+# a row of ``slim``: id, digest of the text, text
+ROW = ["id", "digest"]
+TEXT = 2
+PIECE = 1 << 19
 
 
 def _texts(column: pa.Array) -> list[bytes]:
@@ -89,7 +91,7 @@ def _keys(size: int):
 def _windows(size: int, bits_of, skip_shared: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = bits_of.value
-        for b in pieces(batches, TEXT):
+        for b in pieces(batches, TEXT, PIECE):
             w = Words(_texts(b.column(TEXT)))
             h = w.hashes(SEEDS[0])
             at, low, _ = _minimizers(w, h, size)
@@ -109,7 +111,7 @@ def _windows(size: int, bits_of, skip_shared: bool):
 
 def _shared(bits_of):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in pieces(batches, TEXT):
+        for b in pieces(batches, TEXT, PIECE):
             w = Words(_texts(b.column(TEXT)))
             hit = sketch.test(bits_of.value, _whole(w, w.hashes(SEEDS[0])))
             some = b.filter(pa.array(hit))
@@ -124,7 +126,7 @@ def _shared(bits_of):
 def _flagged(bits_of, ids_of, flagged: bool):
     """Texts of their own whose row may have repeated starts, or all others."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in pieces(batches, TEXT):
+        for b in pieces(batches, TEXT, PIECE):
             w = Words(_texts(b.column(TEXT)))
             hit = sketch.test(ids_of.value, _row_keys(b))
             yield b.filter(pa.array((hit == flagged) & ~sketch.test(bits_of.value, _whole(w, w.hashes(SEEDS[0])))))
@@ -132,8 +134,8 @@ def _flagged(bits_of, ids_of, flagged: bool):
 
 
 def _row_keys(b: pa.RecordBatch) -> np.ndarray:
-    read = lambda i: b.column(i).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-    return mixed(mixed(read(1)) ^ read(2))
+    read = lambda i: pc.fill_null(b.column(i), 0).to_numpy(zero_copy_only=False).view(np.uint64)
+    return mixed(mixed(read(0)) ^ read(1))
 
 
 def _kept(size: int):
@@ -141,7 +143,7 @@ def _kept(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, removed, hashes, kept = [], [], [], []
-            for t, s in zip(_texts(b.column(2)), b.column(3).to_pylist()):
+            for t, s in zip(_texts(b.column(1)), b.column(2).to_pylist()):
                 words = left = t.split()
                 if s:
                     cover = np.zeros(len(words) + 1, np.int32)
@@ -157,56 +159,56 @@ def _kept(size: int):
                 hashes.append(hashlib.sha256(joined).hexdigest())
                 kept.append(joined.decode("utf-8", "replace"))
             yield pa.RecordBatch.from_arrays([
-                b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(removed, pa.int64()),
+                b.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()),
                 pa.array(hashes, pa.string()), pa.array(kept, pa.string())],
-                ["none", "id", "n_words", "n_removed", "kept_sha256", "kept_text"])
+                ["id", "n_words", "n_removed", "kept_sha256", "kept_text"])
     return run
 
 
-KEPT = "none boolean, id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
+KEPT = "id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
 
 
-SLIM = "none boolean, id long, digest long, text string"
+SLIM = "id long, digest long, text string"
 
 
 def dedup(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     """Per row: doc_id, n_words, n_removed, kept_sha256 and kept_text (the words
     that stay, joined by one space)."""
     context = docs.sparkSession.sparkContext
-    id_, text = docs["doc_id"].cast("long"), docs["text"].cast("string")
-    slim = docs.select(id_.isNull().alias("none"), F.coalesce(id_, F.lit(0)).alias("id"),
-                       F.xxhash64(text).alias("digest"), text.alias("text"))
+    text = docs["text"].cast("string")
+    slim = docs.select(docs["doc_id"].cast("long").alias("id"), F.xxhash64(text).alias("digest"), text.alias("text"))
     bits = context.broadcast(sketch.bit_array(sketch.build(slim, _keys(size), text=TEXT), 2))
-    place = lambda *more: F.struct("none", "id", *more)
+    # the larger the earlier: a null id is smaller than all others, so it comes last
+    place = lambda *more: F.struct(F.bitwise_not("id").alias("id"), *(F.bitwise_not(c).alias(c) for c in more))
 
     # texts that may be copies: classed exactly by their whole word sequence
     copies = stored(slim.mapInArrow(_shared(bits), f"{SLIM}, n_words long, whole string"), "substring-copies")
     # stored, so that the join reads two plain exchanges and a hot group can be split
-    first = stored(copies.groupBy("whole").agg(F.min(place()).alias("first")), "substring-firsts")
+    first = stored(copies.groupBy("whole").agg(F.max(place()).alias("first")), "substring-firsts")
     classed = copies.join(first, "whole")
     firsts = classed.where(place() == F.col("first")).select(*ROW, "text")
-    later = classed.where(place() > F.col("first"))
+    later = classed.where(place() < F.col("first"))
     gone = F.col("n_words") >= size
     later = later.select(
-        "none", "id", "n_words", F.when(gone, F.col("n_words")).otherwise(F.lit(0)).cast("long").alias("n_removed"),
+        "id", "n_words", F.when(gone, F.col("n_words")).otherwise(F.lit(0)).cast("long").alias("n_removed"),
         F.when(gone, F.lit(hashlib.sha256(b"").hexdigest())).otherwise(F.col("whole")).alias("kept_sha256"),
         F.when(gone, F.lit("")).otherwise(F.array_join(words_of(F.coalesce("text", F.lit(""))), " ")).alias("kept_text"))
 
-    rows = "h1 long, h2 int, none boolean, id long, digest long, start int"
+    rows = "h1 long, h2 int, id long, digest long, start int"
     # not stored: hashing again is cheaper than a table of random hashes
     windows = slim.mapInArrow(_windows(size, bits, True), rows).unionByName(
         firsts.mapInArrow(_windows(size, bits, False), rows))
     earliest = stored(windows.groupBy("h1", "h2").agg(
-        F.min(place("start")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "substring-earliest")
-    repeats = windows.join(earliest, ["h1", "h2"]).where(place("start") > F.col("first"))
+        F.max(place("start")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "substring-earliest")
+    repeats = windows.join(earliest, ["h1", "h2"]).where(place("start") < F.col("first"))
     # one row per document; its positions are bounded by its own length
     starts = stored(repeats.groupBy(*ROW).agg(F.collect_set("start").alias("starts")), "substring-starts")
     ids = context.broadcast(sketch.bit_array(sketch.build(starts.select(*ROW), _row_keys), 1))
 
     plain = slim.mapInArrow(_flagged(bits, ids, False), SLIM).withColumn("starts", F.lit(None).cast("array<int>"))
     some = slim.mapInArrow(_flagged(bits, ids, True), SLIM).unionByName(firsts)
-    some = some.join(starts, ROW, "left")
-    kept = lambda df: df.select("none", "id", "text", "starts").mapInArrow(_kept(size), KEPT)
+    some = some.join(starts.select(F.col("id").alias("of"), F.col("digest").alias("with"), "starts"),
+                     F.col("id").eqNullSafe(F.col("of")) & (F.col("digest") == F.col("with")), "left")
+    kept = lambda df: df.select("id", "text", "starts").mapInArrow(_kept(size), KEPT)
     out = kept(plain).unionByName(kept(some)).unionByName(later)
-    return out.select(F.when(~F.col("none"), F.col("id")).alias("doc_id"),
-                      "n_words", "n_removed", "kept_sha256", "kept_text")
+    return out.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256", "kept_text")
