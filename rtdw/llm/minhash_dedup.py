@@ -182,7 +182,7 @@ def confirmed(slim: DataFrame, classes: DataFrame, pairs: DataFrame, percent: in
     wanted = slim.sparkSession.sparkContext.broadcast(
         sketch.bit_array(sketch.build(rows.select("id", "digest"), _wanted_keys), 1))
     sets = stored(slim.where("id IS NOT NULL").mapInArrow(_set_rows(wanted), "id long, digest long, shingles binary")
-                  .dropDuplicates(["id", "digest"]).join(rows, ["id", "digest"]).select("rep", "shingles"), "minhash-sets")
+                  .join(rows, ["id", "digest"]).dropDuplicates(["id", "digest"]).select("rep", "shingles"), "minhash-sets")
     left = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb"))
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb")
