@@ -243,10 +243,11 @@ ORACLE: dict[str, str] = {
 
 
 def _all() -> dict[str, str]:
-    from . import oracle_cdc, oracle_more
+    from . import oracle_cdc, oracle_more, oracle_stream
     out = dict(ORACLE)
     out.update(oracle_cdc.oracles())
     out.update(oracle_more.oracles())
+    out.update(oracle_stream.oracles())
     return out
 
 

@@ -17,6 +17,7 @@ from .. import sinks
 from ..functions import keywords, timefn
 from ..operators import dedupe, dims, facts, logs, metrics, routing
 from ..streaming import jobs as stream_jobs
+from ..streaming.replay import in_time_order
 from ..sources import bindings as B
 from ..sources import envelope
 from ..sources.envelope import ORDER_DETAIL_FACT_FIELDS, ORDER_DETAIL_FACT_SCHEMA
@@ -355,17 +356,20 @@ QUERIES.update({
 
 def stream_traffic_vc_ch_ar_is_new(spark, sf_dir):
     ev = stream_jobs.events_replayed(spark, sf_dir)
-    return stream_jobs.run_available_now(stream_jobs.traffic_vc_ch_ar_is_new(ev), "traffic")
+    return stream_jobs.run_replayed(stream_jobs.traffic_vc_ch_ar_is_new(ev.stream), ev, "traffic")
 
 
 def stream_traffic_home_detail_uv(spark, sf_dir):
     ev = stream_jobs.events_replayed(spark, sf_dir)
-    return stream_jobs.run_available_now(stream_jobs.traffic_home_detail_uv(ev), "home-detail")
+    # the closing record's page must pass the page filter, to move the watermark
+    pages = B.page_log_from(ev.stream).withColumn("page_id", F.when(
+        F.col("uid") == str(stream_jobs.CLOSING_USER), "home").otherwise(F.col("page_id")))
+    return stream_jobs.run_replayed(stream_jobs.traffic_home_detail_uv(pages), ev, "home-detail")
 
 
 def stream_user_login_window(spark, sf_dir):
     ev = stream_jobs.events_replayed(spark, sf_dir)
-    return stream_jobs.run_available_now(stream_jobs.user_login_window(ev), "login")
+    return stream_jobs.run_replayed(stream_jobs.user_login_window(ev.stream), ev, "login")
 
 
 def stream_cart_add_uu_window(spark, sf_dir):
@@ -374,21 +378,22 @@ def stream_cart_add_uu_window(spark, sf_dir):
     closing = spark.sql("SELECT timestamp'2200-01-01 00:00:00' AS et").select(
         F.lit(str(stream_jobs.CLOSING_USER)).cast(cart.schema["user_id"].dataType).alias("user_id"),
         F.lit(0).cast(cart.schema["seq"].dataType).alias("seq"), F.unix_millis("et").alias("ts_ms"), "et")
-    src = stream_jobs.replayed(spark, cart, "cart", "et", closing)
-    return stream_jobs.run_available_now(stream_jobs.cart_add_uu_window(src), "cart")
+    replay = in_time_order(cart, "cart", "et", closing)
+    return stream_jobs.run_replayed(stream_jobs.cart_add_uu_window(replay.stream), replay, "cart")
 
 
 def stream_is_new_repair(spark, sf_dir):
     ev = stream_jobs.events_replayed(spark, sf_dir)
-    out = stream_jobs.run_available_now(stream_jobs.is_new_repair(ev), "is_new")
+    out = stream_jobs.run_replayed(stream_jobs.is_new_repair(ev.stream), ev, "is_new")
     return out.where(F.col("mid") != f"mid_{stream_jobs.CLOSING_USER}").select(
         "seq", "mid", "is_new", "is_new_fixed")
 
 
 def stream_keyword_window(spark, sf_dir):
-    pl = B.page_log_from(stream_jobs.events_replayed(spark, sf_dir))
-    search = B.search_log_from(pl, B.table(spark, sf_dir, "documents"), B.table(spark, sf_dir, "events").count())
-    return stream_jobs.run_available_now(stream_jobs.keyword_window(search), "keyword")
+    ev = stream_jobs.events_replayed(spark, sf_dir)
+    search = B.search_log_from(B.page_log_from(ev.stream), B.table(spark, sf_dir, "documents"),
+                               B.table(spark, sf_dir, "events").count())
+    return stream_jobs.run_replayed(stream_jobs.keyword_window(search), ev, "keyword")
 
 
 def stream_province_order_window(spark, sf_dir):
@@ -396,8 +401,8 @@ def stream_province_order_window(spark, sf_dir):
     in arrival order, so that replaced rows come in later batches too."""
     of = B.order_fact(spark, sf_dir).select(
         "id", "seq", "order_id", "province_id", "split_total_amount", "et", "ts_ms")
-    src = stream_jobs.replayed(spark, of, "order-fact", "et", of.limit(0))
-    out = stream_jobs.province_order_window(src, B.dim_base_province(spark, sf_dir))
+    out = stream_jobs.province_order_window(in_time_order(of, "order-fact", "et"),
+                                            lambda: B.dim_base_province(spark, sf_dir))
     return _money(out, ["order_amount"])
 
 
@@ -463,3 +468,7 @@ def log_parsed(spark, sf_dir):
 
 
 QUERIES.update({"metric_json_read": metric_json_read, "cdc_gate_json": cdc_gate_json, "log_parsed": log_parsed})
+
+from .stream_queries import STREAM_QUERIES  # noqa: E402
+
+QUERIES.update(STREAM_QUERIES)

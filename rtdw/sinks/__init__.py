@@ -18,6 +18,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .keyed import KeyedTable
+
 # ------------------------------------------------------------- formatting --
 
 
@@ -106,8 +108,7 @@ def merge_upsert(current: DataFrame | None, changes: DataFrame, key: Sequence[st
     """SNK4 / SNK7 table form: the newest row per key of the current table and
     the changes together, in one aggregation, so a change older than the stored row
     (a replay, a late record) changes nothing. With ``op_col`` a newest change of op
-    ``d`` removes its key. ``versioned_upsert`` writes it to a fresh version, never in
-    place."""
+    ``d`` removes its key (``keyed_upsert`` keeps such a table in buckets)."""
     from ..operators.facts import upsert_latest
 
     rows = changes if op_col is None else changes.withColumn(op_col, F.coalesce(F.col(op_col), F.lit("u")))
@@ -121,23 +122,15 @@ def merge_upsert(current: DataFrame | None, changes: DataFrame, key: Sequence[st
 
 # -------------------------------------------------- streaming foreachBatch --
 
-def versioned_upsert(path: str, key: Sequence[str], seq_col: str,
-                     op_col: str | None = None) -> Callable[[DataFrame, int], None]:
-    """SNK4/SNK7: ``foreachBatch`` writer of a keyed table. Version ``n + 1`` is
-    version ``n`` merged with batch ``n``; a replayed batch rewrites the same
-    version from the same predecessor, so it leaves no trace of the first try."""
+def keyed_upsert(table: KeyedTable, seq_col: str,
+                 op_col: str | None = None) -> Callable[[DataFrame, int], None]:
+    """SNK4/SNK7: ``foreachBatch`` writer of a keyed table. A batch rewrites only the buckets its
+    keys fall into, and a replayed batch leaves no trace of the first try."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        current = spark.read.parquet(version_path(path, batch_id)) if batch_id > 0 else None
-        merge_upsert(current, batch, key, seq_col, op_col).write.mode("overwrite").parquet(
-            version_path(path, batch_id + 1))
+        table.commit(batch_id, batch, lambda stored, changes: merge_upsert(stored, changes, table.key, seq_col, op_col))
     return write
 
 
-def version_path(path: str, version: int) -> str:
-    return f"{path.rstrip('/')}/version={version}"
-
-
 def idempotent_files(path: str, fmt: str = "json") -> Callable[[DataFrame, int], None]:
     """SNK5/SNK6: ``foreachBatch`` writer that overwrites the folder of its
     own batch id, so a replayed batch replaces instead of duplicating."""

@@ -471,6 +471,22 @@ DWD_CONFIG_ROWS = [
 ]
 
 
+# the user dimension's route, for the stored DIM job
+USER_CONFIG_ROWS = [("user_info", "dim_user_info", "id,name,nation_id,balance,segment", "info", "id", "c", 7)]
+
+# configuration changes by the batch they arrive in (-1: preloaded). What arrives by the
+# stream stands above the preload, whatever its number.
+DIM_CONFIG_ARRIVALS = [
+    (-1, *DIM_CONFIG_ROWS[0]), (-1, *DIM_CONFIG_ROWS[1]), (-1, *DIM_CONFIG_ROWS[2][:6], 30),
+    (1, *DIM_CONFIG_ROWS[3]), (1, *DIM_CONFIG_ROWS[4]), (2, *DIM_CONFIG_ROWS[5]),
+]
+DWD_CONFIG_ARRIVALS = [
+    (-1, *DWD_CONFIG_ROWS[0]), (-1, *DWD_CONFIG_ROWS[2]), (0, *DWD_CONFIG_ROWS[3]),
+    (0, *DWD_CONFIG_ROWS[5]), (1, *DWD_CONFIG_ROWS[4]), (2, *DWD_CONFIG_ROWS[6]),
+    (1, "order_info", "delete", "dwd_order_delete", "id,user_id,province_id,order_status", "c", 8),
+]
+
+
 def dim_config_changelog(spark: SparkSession) -> DataFrame:
     from ..operators.routing import DIM_CFG_SCHEMA
     return spark.createDataFrame(DIM_CONFIG_ROWS, DIM_CFG_SCHEMA)

@@ -1,7 +1,8 @@
 """Keyed tables and replayed batches."""
 
 from rtdw import sinks
-from rtdw.streaming import jobs as J
+from rtdw.sinks.keyed import KeyedTable
+from rtdw.streaming.province_job import ProvinceOrders
 
 
 def test_a_stale_change_does_not_replace_a_newer_row(spark):
@@ -20,12 +21,13 @@ def test_deletes_leave_the_table(spark):
 
 
 def test_replayed_batches_leave_one_result(spark, tmp_path):
-    write = sinks.versioned_upsert(f"{tmp_path}/t", ["id"], "seq")
+    table = KeyedTable(spark, f"{tmp_path}/t", ["id"], "id string, seq int", buckets=4)
+    write = sinks.keyed_upsert(table, "seq")
     one = spark.createDataFrame([("a", 1), ("b", 1)], "id string, seq int")
     two = spark.createDataFrame([("a", 2), ("c", 1)], "id string, seq int")
     for batch, n in ((one, 0), (two, 1), (two, 1)):
         write(batch, n)
-    got = sorted(map(tuple, spark.read.parquet(sinks.version_path(f"{tmp_path}/t", 2)).collect()))
+    got = sorted(map(tuple, table.read().collect()))
     assert got == [("a", 2), ("b", 1), ("c", 1)]
     bad = spark.createDataFrame([("{x",)], "value string")
     for _ in range(2):
@@ -49,12 +51,12 @@ def test_retract_replace_over_batches(spark, tmp_path):
         [("d1", 2, "o1", "p1", "7.00", "2024-01-01 00:00:10"), ("d2", 2, "o2", "p1", "1.00", "2024-01-01 00:00:03"),
          ("d4", 1, "o4", "p1", "5.00", "2024-01-01 00:00:00")],
     ]
-    write = J.province_upsert(str(tmp_path))
+    provinces = spark.createDataFrame([("p1", "north")], "id string, name string")
+    job = ProvinceOrders(spark, str(tmp_path), lambda: provinces, buckets=4)
     for n, rows in enumerate(batches):
-        write(make(rows), n)
-    write(make(batches[2]), 2)
-    net = spark.read.parquet(f"{tmp_path}/net").groupBy("window", "province_id", "order_id").sum("amount")
-    got = {(r["window"].start.second, r["order_id"]): float(r["sum(amount)"]) for r in net.collect()}
+        job.write(make(rows), n)
+    job.write(make(batches[2]), 2)
+    got = {(r["window"].start.second, r["order_id"]): float(r["amount"]) for r in job.net.read().collect()}
     assert got == {(0, "o1"): 0.0, (0, "o2"): 1.0, (0, "o4"): 5.0, (8, "o3"): 0.2, (8, "o1"): 7.0}
 
 
