@@ -2,14 +2,14 @@
 (ST1, PRJ2, PRJ25-PRJ28, SNK8, SNK9).
 
 Input is the parsed log (``common``/``page``/``start``/``err``/``displays``/
-``actions``/``ts``, maps of strings). The split is five projections of one
-repaired DataFrame; a sink that writes all five persists the repaired batch
-once (``sinks.write_split``) so the repair is not recomputed per output.
+``actions``/``ts``, maps of strings). ``split`` gives five projections of one
+repaired DataFrame; a sink that writes all five explodes each record into its outputs in one
+pass (``route_tag``, ``sinks.write_split``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.envelope import LOG_SCHEMA, parse_tolerant
@@ -67,16 +67,36 @@ def split(log: DataFrame) -> dict[str, DataFrame]:
     return {"err": err, "start": start, "page": page, "display": display, "action": action}
 
 
+def fan_out(topics: str = "topics") -> Column:
+    """The records one log record turns into, as an array of (topic, value): PRJ25-PRJ27
+    in one expression over the columns of ``LOG_SCHEMA``."""
+    names = LOG_SCHEMA.fieldNames()
+    record = lambda topic, **other: F.struct(F.lit(topic).alias("topic"), F.to_json(F.struct(
+        *(other[c].alias(c) if c in other else F.col(c) for c in names))).alias("value"))
+    none = F.lit(None).cast(LOG_SCHEMA["err"].dataType)
+    left = lambda c: F.when(_nonempty(c), F.lit(None)).otherwise(F.col(c))
+    is_page = F.col("start").isNull()
+    whole = F.array_compact(F.array(
+        F.when(F.col("err").isNotNull(), record("err")),
+        F.when(~is_page, record("start", err=none)),
+        F.when(is_page, record("page", err=none, displays=left("displays"), actions=left("actions")))))
+
+    def each(array: str, topic: str, *more: str) -> Column:
+        one = lambda x: F.struct(F.lit(topic).alias("topic"), F.to_json(F.struct(
+            F.col("common"), F.col("page"), x.alias(topic), *(F.col(c) for c in more))).alias("value"))
+        return F.coalesce(F.transform(F.when(is_page, F.col(array)), one), F.array().cast("array<struct<topic:string,value:string>>"))
+
+    return F.concat(whole, each("displays", "display", "ts"), each("actions", "action")).alias(topics)
+
+
 def route_tag(log: DataFrame) -> DataFrame:
-    """SNK9 as one write: tag each output row with its topic, so a single
-    Kafka/file write with a ``topic`` column fans out to all five."""
-    parts = split(log)
-    body = set(LOG_SCHEMA.fieldNames()) | {"display", "action"}
-    tagged = [parts[k].select(F.lit(k).alias("topic"),
-                              F.to_json(F.struct(*[c for c in parts[k].columns if c in body]))
-                              .alias("value"))
-              for k in OUTPUTS]
-    out = tagged[0]
-    for t in tagged[1:]:
-        out = out.unionByName(t)
-    return out
+    """SNK9 as one write and one pass: every record is exploded into its outputs, tagged
+    with their topic, so a single Kafka/file write with a ``topic`` column fans out to all five."""
+    return log.select(F.explode(fan_out()).alias("r")).select("r.topic", "r.value")
+
+
+def route_lines(lines: DataFrame, col: str = "value") -> DataFrame:
+    """``route_tag`` of parsed lines (``ok``, the columns of ``LOG_SCHEMA``, the raw text) with the
+    dead letters as a sixth topic (SNK8), in the same pass."""
+    dirty = F.array(F.struct(F.lit("dirty").alias("topic"), F.col(col).alias("value")))
+    return lines.select(F.explode(F.when(F.col("ok"), fan_out()).otherwise(dirty)).alias("r")).select("r.topic", "r.value")

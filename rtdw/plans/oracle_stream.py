@@ -4,9 +4,9 @@ a batch, the periods of the five-second state."""
 
 from __future__ import annotations
 
-from .oracle import ORDER_FACT, sku_order_enriched
+from .oracle import ORDER_FACT, PAGE_LOG, sku_order_enriched
 from .oracle_cdc import HEADER, TOPIC_DB
-from .oracle_more import _sig, _values, dim_merge
+from .oracle_more import _sig, _values, dim_merge, dirty_records
 
 
 def dim_job() -> str:
@@ -95,6 +95,32 @@ def stream_sku_order_window() -> str:
     return sql[:start] + f"WITH RECURSIVE {ORDER_FACT},{SKU_PERIODS},\n" + sql[rest:]
 
 
+def stream_log_split() -> str:
+    """Undamaged lines are repaired per device and split; damaged ones come out as they are."""
+    return f"""
+WITH {PAGE_LOG},
+damaged AS ({dirty_records()}),
+good AS (SELECT * FROM page_log WHERE seq NOT IN (SELECT seq FROM damaged)),
+fixed AS (SELECT *, first_value(CASE WHEN is_new = '1' THEN d ELSE d - INTERVAL 1 DAY END)
+                      OVER (PARTITION BY mid ORDER BY ts_ms, seq) AS fx FROM good),
+lg AS (SELECT mid, CASE WHEN is_new = '1' AND CAST(fx AS DATE) <> d THEN '0' ELSE is_new END AS is_new, seq, ts_ms,
+              event_type = 'signup' AS is_start, event_type = 'error' OR seq % 7 = 0 AS has_err, user_id, last_page_id,
+              CASE WHEN event_type <> 'signup' THEN page_id END AS page_id,
+              CASE WHEN event_type IN ('view', 'click') THEN seq % 4 END AS n_disp,
+              CASE WHEN event_type IN ('click', 'purchase') THEN user_id % 3 END AS n_act FROM fixed)
+SELECT 'err' AS topic, mid, is_new, CAST(user_id % 5 AS STRING) AS detail, page_id, ts_ms AS ts,
+       CAST(4 + (n_disp IS NOT NULL)::INT + (n_act IS NOT NULL)::INT AS INTEGER) AS n_keys, NULL AS raw
+FROM lg WHERE has_err
+UNION ALL SELECT 'start', mid, is_new, 'icon', NULL, ts_ms, 3, NULL FROM lg WHERE is_start
+UNION ALL SELECT 'page', mid, is_new, last_page_id, page_id, ts_ms,
+       CAST(3 + coalesce(n_disp = 0, false)::INT + coalesce(n_act = 0, false)::INT AS INTEGER), NULL FROM lg WHERE NOT is_start
+UNION ALL SELECT 'display', mid, is_new, CAST(p AS STRING), page_id, ts_ms, 4, NULL
+FROM lg, LATERAL (SELECT unnest(generate_series(1, n_disp)) AS p) WHERE NOT is_start AND n_disp > 0
+UNION ALL SELECT 'action', mid, is_new, CASE WHEN p = 1 THEN 'cart_add' ELSE 'favor_add' END, page_id, NULL, 3, NULL
+FROM lg, LATERAL (SELECT unnest(generate_series(1, n_act)) AS p) WHERE NOT is_start AND n_act > 0
+UNION ALL SELECT 'dirty', NULL, NULL, NULL, NULL, NULL, NULL, value FROM damaged"""
+
+
 def oracles() -> dict[str, str]:
-    return {"dim_job": dim_job(), "stream_dim_route": stream_dim_route(), "stream_dwd_route": stream_dwd_route(),
+    return {"stream_log_split": stream_log_split(), "dim_job": dim_job(), "stream_dim_route": stream_dim_route(), "stream_dwd_route": stream_dwd_route(),
             "stream_sku_order_window": stream_sku_order_window()}
