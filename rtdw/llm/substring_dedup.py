@@ -88,7 +88,17 @@ def _keys(size: int):
     return keys
 
 
-def _windows(size: int, bits_of, skip_shared: bool):
+def _window_key(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    return mixed(one ^ (two << U(16)))
+
+
+def _window_keys(b: pa.RecordBatch) -> np.ndarray:
+    return _window_key(b.column(0).to_numpy().view(np.uint64), b.column(1).to_numpy().view(np.uint32).astype(np.uint64))
+
+
+def _windows(size: int, bits_of, skip_shared: bool, only_of=None):
+    """The windows estimated repeated; with ``only_of``, of these the ones whose hashes are in
+    that bit array."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = bits_of.value
         for b in pieces(batches, TEXT, PIECE):
@@ -102,6 +112,9 @@ def _windows(size: int, bits_of, skip_shared: bool):
             at, doc = at[ok], doc[ok]
             one = w.runs(h, size, SEEDS[0])[at]
             two = w.runs(w.hashes(SEEDS[1]), size, SEEDS[1])[at] >> U(32)
+            if only_of is not None:
+                some = sketch.test(only_of.value, _window_key(one, two))
+                at, doc, one, two = at[some], doc[some], one[some], two[some]
             yield pa.RecordBatch.from_arrays([
                 pa.array(one.view(np.int64)), pa.array(two.astype(np.uint32).view(np.int32)),
                 *(b.column(i).take(pa.array(doc)) for i in range(TEXT)),
@@ -196,11 +209,13 @@ def dedup(docs: DataFrame, size: int = WINDOW) -> DataFrame:
 
     rows = "h1 long, h2 int, id long, digest long, start int"
     # not stored: hashing again is cheaper than a table of random hashes
-    windows = slim.mapInArrow(_windows(size, bits, True), rows).unionByName(
-        firsts.mapInArrow(_windows(size, bits, False), rows))
-    earliest = stored(windows.groupBy("h1", "h2").agg(
+    windows = lambda only=None: slim.mapInArrow(_windows(size, bits, True, only), rows).unionByName(
+        firsts.mapInArrow(_windows(size, bits, False, only), rows))
+    earliest = stored(windows().groupBy("h1", "h2").agg(
         F.max(place("start")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "substring-earliest")
-    repeats = windows.join(earliest, ["h1", "h2"]).where(place("start") < F.col("first"))
+    # only what stands twice goes to the join: told to the scan by a bit array of fixed size
+    again = context.broadcast(sketch.bit_array(sketch.build(earliest.select("h1", "h2"), _window_keys), 1))
+    repeats = windows(again).join(earliest, ["h1", "h2"]).where(place("start") < F.col("first"))
     # one row per document; its positions are bounded by its own length
     starts = stored(repeats.groupBy(*ROW).agg(F.collect_set("start").alias("starts")), "substring-starts")
     ids = context.broadcast(sketch.bit_array(sketch.build(starts.select(*ROW), _row_keys), 1))
