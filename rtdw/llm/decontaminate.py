@@ -11,14 +11,16 @@ shorter document is one window). Words are lower-cased; the shingles are five wo
    better than the next one, and one with all below no better than the one before:
    every start from the least to the greatest p - q of its window's anchors is
    proposed, so a best window always is, also between two diagonals.
-2. Fingerprints. Each proposed window and each item gets a 64-bit SimHash: every
+   The anchors are a filter of places only: they say where a window of m words may hold
+   an item of that size, not which.
+2. Fingerprints. Each such window and each item gets a 64-bit SimHash: every
    shingle votes, by weight, on every bit. At similarity 0.75 two fingerprints differ
    in 11 bits on average (deviation 3), ``RADIUS`` allows 23.
-3. Multi-index Hamming blocks. The 64 bits fall into RADIUS + 1 blocks: fingerprints
-   within the radius agree in one block at least, so equal (item, size, block, value)
-   gives every pair within the radius, and the bit count of the XOR decides. A window
-   meets only the items it was proposed for: any other has too few anchors in it or
-   has a window as good elsewhere.
+3. Multi-index Hamming blocks. The 64 bits fall into ``BLOCKS`` blocks; two fingerprints
+   within the radius differ in at most ``RADIUS // BLOCKS`` bits of one block at least. The index
+   holds each item under every block value that near to its own; a window looks up its
+   own values, by equal (size, block, value), and the bit count of the XOR decides. So
+   every pair within the radius is found, in the first block that shows it.
 4. Candidates are verified exactly: sum of least over sum of greatest weights of
    all shingles of window and item, 0.75 or more.
 
@@ -35,6 +37,8 @@ harmless (only ids and texts are read).
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +46,7 @@ from rtdw.llm.common import columns_of, let, stored, text_of, words_of
 
 SHINGLE = 5
 RADIUS = 23
+BLOCKS = 8
 PERCENT = 75
 
 
@@ -77,15 +82,16 @@ def _simhash(sh: Column) -> Column:
             "shiftleft", F.lit(1).cast("long"), b)).otherwise(F.lit(0).cast("long"))))
 
 
-def _blocks(print_: Column, radius: int) -> Column:
-    """(block, value) for radius + 1 blocks of the 64 bits."""
-    count = radius + 1
-    out = []
-    for j in range(count):
-        low, high = 64 * j // count, 64 * (j + 1) // count
-        out.append(F.struct(F.lit(j).alias("block"), F.shiftrightunsigned(print_, low).bitwiseAND(
-            F.lit((1 << (high - low)) - 1).cast("long")).alias("value")))
-    return F.array(*out)
+def _block(print_: Column, j: int) -> Column:
+    """The value of block j of the 64 bits."""
+    low, high = 64 * j // BLOCKS, 64 * (j + 1) // BLOCKS
+    return F.shiftrightunsigned(print_, low).bitwiseAND(F.lit((1 << (high - low)) - 1).cast("long"))
+
+
+def _near_masks(j: int, most: int) -> list[int]:
+    """What may differ in block j: all masks of at most ``most`` bits."""
+    width = 64 * (j + 1) // BLOCKS - 64 * j // BLOCKS
+    return [sum(1 << b for b in some) for k in range(most + 1) for some in combinations(range(width), k)]
 
 
 def _common(a: Column, b: Column) -> Column:
@@ -126,12 +132,22 @@ def _starts() -> Column:
 
 
 def _meetings(windows: DataFrame, prints: DataFrame, radius: int) -> DataFrame:
-    """Windows with the items they are proposed for, once per common block."""
-    left = windows.select("doc_id", "text_key", "m", "start", "print", F.explode("for").alias("only")).select(
-        "*", F.explode(_blocks(F.col("print"), radius)).alias("b"))
-    right = prints.select("item_id", F.struct("item_id").alias("only"), "m", "item_print",
-                          F.explode(_blocks(F.col("item_print"), radius)).alias("b"))
-    return left.join(right, ["only", "m", "b"])
+    """Windows (doc_id, text_key, m, start, print) with the items of their size whose
+    fingerprint lies within the radius, each once."""
+    most = radius // BLOCKS
+    left = windows.select("doc_id", "text_key", "m", "start", "print", F.posexplode(
+        F.array(*(_block(F.col("print"), j) for j in range(BLOCKS)))).alias("block", "value"))
+    near = F.array(*(F.array(*(_block(F.col("item_print"), j).bitwiseXOR(F.lit(x).cast("long"))
+                               for x in _near_masks(j, most))) for j in range(BLOCKS)))
+    index = prints.select("item_id", "m", "item_print", F.posexplode(near).alias("block", "values")).select(
+        "item_id", "m", "item_print", "block", F.explode("values").alias("value"))
+    differ = F.col("print").bitwiseXOR(F.col("item_print"))
+    # the first block that shows the pair: no block before it is that near
+    first = F.lit(BLOCKS)
+    for j in range(BLOCKS - 1, -1, -1):
+        first = F.when(F.bit_count(_block(differ, j)) <= most, F.lit(j)).otherwise(first)
+    return left.join(index, ["m", "block", "value"]).where(
+        (F.bit_count(differ) <= radius) & (first == F.col("block"))).select("doc_id", "text_key", "m", "start", "item_id")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, radius: int = RADIUS) -> DataFrame:
@@ -154,9 +170,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT,
     windows = stored(places.select(*pair, "m", F.explode_outer(_starts()).alias("start")).where(
         "start is not null"), "decontaminate-starts")
 
-    # each start with the items it is proposed for: no other item's fingerprint need meet it
-    wd = windows.groupBy(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t"), "m", "start").agg(
-        F.collect_set(F.struct("item_id")).alias("for"))
+    # a place and a size once, whatever the items that have anchors there
+    wd = windows.select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t"), "m", "start").distinct()
     wide = docs.select(*keyed, text_of(docs).alias("text"))
     # the texts are shuffled once, whatever the number of ids: it grows with the corpus
     ids = wd.select("_d", "_t").distinct().hint("merge")
@@ -165,13 +180,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT,
                   "decontaminate-held")
     cut = F.slice(F.col("sh"), F.col("start") + 1, F.greatest(F.lit(1), F.col("m") - SHINGLE + 1))
     framed = held.join(wd, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_key") == F.col("_t"))).select(
-        "doc_id", "text_key", "m", "start", "for", cut.alias("window"))
+        "doc_id", "text_key", "m", "start", cut.alias("window"))
     framed = stored(framed.withColumn("print", _simhash(F.col("window"))), "decontaminate-windows")
 
     prints = items.select("item_id", F.col("n").alias("m"), F.col("sh").alias("item"), _simhash(F.col("sh")).alias("item_print"))
-    near = _meetings(framed, prints, radius).where(
-        F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= radius)
-    near = near.select("doc_id", "text_key", "m", "start", "item_id").distinct()
+    # items that repeat their id and fingerprint meet a window once
+    near = stored(_meetings(framed, prints, radius).distinct(), "decontaminate-near")
     n = near.select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t"), F.col("m").alias("_m"),
                     F.col("start").alias("_s"), "item_id")
     both = framed.join(n, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_key") == F.col("_t"))

@@ -194,16 +194,32 @@ def test_windows_between_the_diagonals(spark):
     assert left == set(range(len(corpus))) - {i for i, _ in want}
 
 
-def test_windows_meet_only_the_items_they_are_proposed_for(spark, monkeypatch):
+def test_items_are_told_apart(spark):
     items = [(i, " ".join(f"item{i}x{j}" for j in range(30))) for i in range(40)] + [(None, " ".join(f"none{j}" for j in range(30)))]
     corpus = [(i, f"lead words {t} tail words") for i, (_, t) in enumerate(items)]
     docs, bench = spark.createDataFrame(corpus, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
-    joined, meetings = [], decontaminate._meetings
-    monkeypatch.setattr(decontaminate, "_meetings", lambda *a: joined.append(meetings(*a)) or joined[-1])
     found = decontaminate.contaminated(docs, bench)
     assert rows(found, "doc_id", "item_id") == sorted(((d, i) for (d, _), (i, _) in zip(corpus, items)), key=repr)
-    # one pair for each window, in each of its blocks; all of a size met all before
-    assert joined[0].count() == len(items) * (decontaminate.RADIUS + 1)
+
+
+def test_the_hamming_index_finds_every_pair_within_the_radius_once(spark):
+    import random
+    rnd = random.Random(11)
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    prints = [rnd.getrandbits(64) for _ in range(12)]
+    windows = []
+    for k in range(400):
+        x = prints[k % 12] if k % 3 else rnd.getrandbits(64)
+        for b in rnd.sample(range(64), rnd.choice((0, 5, 15, 22, 23, 24, 30))):
+            x ^= 1 << b
+        windows.append(x)
+    left = spark.createDataFrame([(k, 0, 10 + k % 2, k, signed(x)) for k, x in enumerate(windows)],
+                                 "doc_id long, text_key long, m int, start int, print long")
+    right = spark.createDataFrame([(i, 10 + i % 2, signed(x)) for i, x in enumerate(prints)], "item_id long, m int, item_print long")
+    got = sorted((r["doc_id"], r["item_id"]) for r in decontaminate._meetings(left, right, decontaminate.RADIUS).collect())
+    want = sorted((k, i) for k, x in enumerate(windows) for i, y in enumerate(prints)
+                  if k % 2 == i % 2 and (x ^ y).bit_count() <= decontaminate.RADIUS)
+    assert got == want and len(want) > 150
 
 
 def test_pu_quality(spark, docs, empty):
