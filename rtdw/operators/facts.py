@@ -58,20 +58,20 @@ def select_order_detail(cdc: DataFrame, ops: Sequence[str] = SNAPSHOT) -> DataFr
         "ts_ms")
 
 
-def select_order_info(cdc: DataFrame, ops: Sequence[str] = SNAPSHOT) -> DataFrame:
-    """PRJ14."""
-    return _sel(cdc, "order_info", ops).select(*_pick("id", "user_id", "province_id"))
+def select_order_info(cdc: DataFrame, ops: Sequence[str] = SNAPSHOT, keep: Sequence[str] = ()) -> DataFrame:
+    """PRJ14; ``keep``: columns of the envelope to carry (event time, in streams)."""
+    return _sel(cdc, "order_info", ops).select(*_pick("id", "user_id", "province_id"), *keep)
 
 
-def select_order_detail_activity(cdc: DataFrame, ops: Sequence[str] = SNAPSHOT) -> DataFrame:
+def select_order_detail_activity(cdc: DataFrame, ops: Sequence[str] = SNAPSHOT, keep: Sequence[str] = ()) -> DataFrame:
     """PRJ15."""
     return _sel(cdc, "order_detail_activity", ops).select(
-        *_pick("order_detail_id", "activity_id", "activity_rule_id"))
+        *_pick("order_detail_id", "activity_id", "activity_rule_id"), *keep)
 
 
-def select_order_detail_coupon(cdc: DataFrame, ops: Sequence[str] = SNAPSHOT) -> DataFrame:
+def select_order_detail_coupon(cdc: DataFrame, ops: Sequence[str] = SNAPSHOT, keep: Sequence[str] = ()) -> DataFrame:
     """PRJ16."""
-    return _sel(cdc, "order_detail_coupon", ops).select(*_pick("order_detail_id", "coupon_id"))
+    return _sel(cdc, "order_detail_coupon", ops).select(*_pick("order_detail_id", "coupon_id"), *keep)
 
 
 def select_comment_info(cdc: DataFrame, ops: Sequence[str] = SNAPSHOT) -> DataFrame:
@@ -119,11 +119,11 @@ def select_refund_request(cdc: DataFrame, ops: Sequence[str] = SNAPSHOT) -> Data
 
 
 def select_order_refunded(cdc: DataFrame, ops: Sequence[str] = SNAPSHOT,
-                          with_user: bool = False) -> DataFrame:
+                          with_user: bool = False, keep: Sequence[str] = ()) -> DataFrame:
     """PRJ19 (order headers in status 1006)."""
     st = _after("order_status")
     cols = ["id", "user_id", "province_id"] if with_user else ["id", "province_id"]
-    return _sel(cdc, "order_info", ops, st.isNotNull() & (st == "1006")).select(*_pick(*cols))
+    return _sel(cdc, "order_info", ops, st.isNotNull() & (st == "1006")).select(*_pick(*cols), *keep)
 
 
 def select_refund_payment_success(cdc: DataFrame, ops: Sequence[str] = SNAPSHOT) -> DataFrame:
@@ -134,11 +134,11 @@ def select_refund_payment_success(cdc: DataFrame, ops: Sequence[str] = SNAPSHOT)
         "ts_ms")
 
 
-def select_refund_approved(cdc: DataFrame, ops: Sequence[str] = SNAPSHOT) -> DataFrame:
+def select_refund_approved(cdc: DataFrame, ops: Sequence[str] = SNAPSHOT, keep: Sequence[str] = ()) -> DataFrame:
     """PRJ19 (refund requests in status 0705)."""
     st = _after("refund_status")
     return _sel(cdc, "order_refund_info", ops, st.isNotNull() & (st == "0705")).select(
-        *_pick("order_id", "sku_id", "refund_num"))
+        *_pick("order_id", "sku_id", "refund_num"), *keep)
 
 
 # ----------------------------------------------------------------- joins --
@@ -181,17 +181,21 @@ def fact_order_cancel(order_detail_fact: DataFrame, cdc: DataFrame, strict: bool
     ``cancel_time`` and ``ts_ms`` is the cancel event's."""
     od = order_detail_fact.alias("od")
     oc = select_order_cancel(cdc, strict).alias("oc")
-    j = od.join(oc, F.col("od.order_id") == F.col("oc.id"))
+    return od.join(oc, F.col("od.order_id") == F.col("oc.id")).select(*cancel_columns())
+
+
+def cancel_columns() -> list[Column]:
+    """PRJ21 of J5, over the aliases ``od`` and ``oc``."""
     keep = ["id", "order_id", "user_id", "sku_id", "sku_name", "province_id", "activity_id",
             "activity_rule_id", "coupon_id"]
-    return j.select(
+    return [
         *[F.col(f"od.{c}").alias(c) for c in keep],
         ms_string_to_date(F.col("od.create_time")).alias("date_id"),
         F.col("oc.operate_time").alias("cancel_time"),
         *[F.col(f"od.{c}").alias(c) for c in ("sku_num", "split_original_amount",
                                               "split_activity_amount", "split_coupon_amount",
                                               "split_total_amount")],
-        F.col("oc.ts_ms").alias("ts_ms"))
+        F.col("oc.ts_ms").alias("ts_ms")]
 
 
 def fact_order_pay_success(order_detail_fact: DataFrame, cdc: DataFrame,
@@ -205,8 +209,12 @@ def fact_order_pay_success(order_detail_fact: DataFrame, cdc: DataFrame,
     if within_ms is not None:
         cond = cond & (F.col("pi.ts_ms").between(F.col("od.ts_ms") - within_ms,
                                                  F.col("od.ts_ms") + within_ms))
-    j = pi.join(od, cond)
-    return j.select(
+    return pi.join(od, cond).select(*pay_columns())
+
+
+def pay_columns() -> list[Column]:
+    """PRJ21 of J6, over the aliases ``od`` and ``pi``."""
+    return [
         F.col("od.id").alias("order_detail_id"), F.col("od.order_id").alias("order_id"),
         *[F.col(f"od.{c}").alias(c) for c in ("user_id", "sku_id", "sku_name", "province_id",
                                               "activity_id", "activity_rule_id", "coupon_id")],
@@ -215,15 +223,19 @@ def fact_order_pay_success(order_detail_fact: DataFrame, cdc: DataFrame,
         *[F.col(f"od.{c}").alias(c) for c in ("sku_num", "split_original_amount",
                                               "split_activity_amount", "split_coupon_amount")],
         F.col("od.split_total_amount").alias("split_payment_amount"),
-        F.col("pi.ts_ms").alias("ts_ms"))
+        F.col("pi.ts_ms").alias("ts_ms")]
 
 
 def fact_order_refund(cdc: DataFrame) -> DataFrame:
     """Refund requests x refunded order headers."""
     ri = select_refund_request(cdc).alias("ri")
     oi = select_order_refunded(cdc).alias("oi")
-    j = ri.join(oi, F.col("ri.order_id") == F.col("oi.id"))
-    return j.select(
+    return ri.join(oi, F.col("ri.order_id") == F.col("oi.id")).select(*refund_columns())
+
+
+def refund_columns() -> list[Column]:
+    """PRJ21 of J7, over the aliases ``ri`` and ``oi``."""
+    return [
         *[F.col(f"ri.{c}").alias(c) for c in ("id", "user_id", "order_id", "sku_id")],
         F.col("oi.province_id").alias("province_id"),
         ms_string_to_date(F.col("ri.create_time")).alias("date_id"),
@@ -231,7 +243,7 @@ def fact_order_refund(cdc: DataFrame) -> DataFrame:
         F.col("ri.refund_type").alias("refund_type_code"),
         F.col("ri.refund_reason_type").alias("refund_reason_type_code"),
         *[F.col(f"ri.{c}").alias(c) for c in ("refund_reason_txt", "refund_num", "refund_amount",
-                                              "ts_ms")])
+                                              "ts_ms")]]
 
 
 def fact_refund_pay_success(cdc: DataFrame) -> DataFrame:
@@ -243,7 +255,12 @@ def fact_refund_pay_success(cdc: DataFrame) -> DataFrame:
     j = (rp.join(ori, (F.col("rp.order_id") == F.col("ori.order_id"))
                  & (F.col("rp.sku_id") == F.col("ori.sku_id")))
            .join(oi, F.col("rp.order_id") == F.col("oi.id")))
-    return j.select(
+    return j.select(*refund_pay_columns())
+
+
+def refund_pay_columns() -> list[Column]:
+    """PRJ21 of J8, over the aliases ``rp``, ``ori`` and ``oi``."""
+    return [
         F.col("rp.id").alias("id"), F.col("oi.user_id").alias("user_id"),
         F.col("rp.order_id").alias("order_id"), F.col("rp.sku_id").alias("sku_id"),
         F.col("oi.province_id").alias("province_id"),
@@ -252,7 +269,7 @@ def fact_refund_pay_success(cdc: DataFrame) -> DataFrame:
         F.col("rp.callback_time").alias("callback_time"),
         F.col("ori.refund_num").alias("refund_num"),
         F.col("rp.total_amount").alias("refund_amount"),
-        F.col("rp.ts_ms").alias("ts_ms"))
+        F.col("rp.ts_ms").alias("ts_ms")]
 
 
 def upsert_latest(df: DataFrame, key: Sequence[str] | str, seq_col: str = "ts_ms",

@@ -5,7 +5,7 @@ a batch, the periods of the five-second state."""
 from __future__ import annotations
 
 from .oracle import ORDER_FACT, PAGE_LOG, sku_order_enriched
-from .oracle_cdc import HEADER, TOPIC_DB
+from .oracle_cdc import HEADER, TOPIC_DB, fact_order_pay_suc
 from .oracle_more import _sig, _values, dim_merge, dirty_records
 
 
@@ -121,6 +121,18 @@ FROM lg, LATERAL (SELECT unnest(generate_series(1, n_act)) AS p) WHERE NOT is_st
 UNION ALL SELECT 'dirty', NULL, NULL, NULL, NULL, NULL, NULL, value FROM damaged"""
 
 
+def stream_fact_order_pay_suc() -> str:
+    """The batch fact's newest version per detail id, ties by the columns in order."""
+    inner = fact_order_pay_suc().replace("pi.ts_ms\nFROM", "pi.ts_ms, od.ts_ms AS version_ms\nFROM")
+    order = ["order_id", "user_id", "sku_id", "sku_name", "province_id", "activity_id", "activity_rule_id", "coupon_id",
+             "payment_type_code", "callback_time", "sku_num", "split_original_amount", "split_activity_amount",
+             "split_coupon_amount", "split_payment_amount", "ts_ms"]
+    return f"""
+SELECT * FROM ({inner})
+QUALIFY row_number() OVER (PARTITION BY order_detail_id
+                           ORDER BY version_ms DESC, {', '.join(c + ' DESC NULLS LAST' for c in order)}) = 1"""
+
+
 def oracles() -> dict[str, str]:
-    return {"stream_log_split": stream_log_split(), "dim_job": dim_job(), "stream_dim_route": stream_dim_route(), "stream_dwd_route": stream_dwd_route(),
+    return {"stream_fact_order_pay_suc": stream_fact_order_pay_suc(), "stream_log_split": stream_log_split(), "dim_job": dim_job(), "stream_dim_route": stream_dim_route(), "stream_dwd_route": stream_dwd_route(),
             "stream_sku_order_window": stream_sku_order_window()}

@@ -6,6 +6,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
+from rtdw.streaming import fact_jobs as FJ
 from rtdw.functions import keywords
 from rtdw.operators import facts
 from rtdw.sources import readers
@@ -62,7 +63,7 @@ def test_stream_stream_order_detail_join(spark):
         p = os.path.join(base, name)
         df.write.parquet(p)
         streams[name] = spark.readStream.schema(df.schema).parquet(p)
-    out = J.run_available_now(J.order_detail_join(streams["d"], streams["h"], streams["a"], streams["c"]),
+    out = J.run_available_now(FJ.order_detail_join(streams["d"], streams["h"], streams["a"], streams["c"]),
                               "t-join")
     rows = [(r.id, r.user_id, r.activity_id, r.coupon_id) for r in out.collect()]
     assert len(out.columns) == 17 and out.first().date_id == "1970-01-02"
