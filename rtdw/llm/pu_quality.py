@@ -13,11 +13,16 @@ on the other half the least ratio of unlabelled to positive mass above a score b
 the positives' share of the unlabelled text. It is what is left of positives' mass
 in the cleanest scores, with a margin for small counts.
 
+The risk decides the order of the scores; where the contract's cut of 0.7 lies among them is
+calibrated: on labelled rows of the training folds (good and bad ones) the cut with most rows on
+their right side is found, and scores are shifted on the logit scale so that it becomes 0.7. With
+labels of one kind only, scores stay as they are.
+
 Features come from the whole text alone (labels, language, source and id are never
 inputs): word and character shape, symbols, repetition, line structure, and how
 well the text compresses. They are one slim stored row per document; only the
-fitting sample (about ``POSITIVES`` and ``UNLABELLED`` rows at most, by hash of the id)
-reaches the driver. Scoring is a projection, each row alone, so sources, copies
+fitting sample (about ``POSITIVES``, ``UNLABELLED`` and, to calibrate, ``LABELLED`` rows at
+most, by hash of the id) reaches the driver. Scoring is a projection, each row alone, so sources, copies
 and long texts need no special care.
 
 Defined results: a null text counts as empty, an empty text has a score like any
@@ -41,7 +46,7 @@ from pyspark.sql import functions as F
 from rtdw.llm.common import stored, unit_draw
 
 MODULUS, HELD_OUT = 4, 2
-POSITIVES, UNLABELLED = 20_000, 40_000
+POSITIVES, UNLABELLED, LABELLED = 20_000, 40_000, 20_000
 BINS = 12
 ROUNDS, RATE, DECAY = 400, 0.05, 1e-3
 THRESHOLD = 0.7
@@ -154,13 +159,34 @@ def estimated_prior(p: np.ndarray, u: np.ndarray, size: int) -> float:
 
 
 class Model:
-    def __init__(self, cuts, w, prior):
-        self.cuts, self.w, self.prior = cuts, w, prior
+    def __init__(self, cuts, w, prior, shift: float = 0.0):
+        self.cuts, self.w, self.prior, self.shift = cuts, w, prior, shift
+
+    def margin(self, x: np.ndarray) -> np.ndarray:
+        return self.w[_binned(x, self.cuts)].sum(1) + self.w[-1]
 
     def __call__(self, x: np.ndarray) -> np.ndarray:
         if self.w is None:
             return np.full(len(x), 0.5)
-        return _sigmoid(self.w[_binned(x, self.cuts)].sum(1) + self.w[-1])
+        return _sigmoid(self.margin(x) + self.shift)
+
+    def calibrate(self, x: np.ndarray, quality: np.ndarray) -> "Model":
+        """Shift so that the cut that parts the labelled rows best scores ``THRESHOLD``."""
+        if self.w is not None and 0 < quality.sum() < len(quality):
+            self.shift = float(np.log(THRESHOLD / (1 - THRESHOLD)) - best_cut(self.margin(x), quality))
+        return self
+
+
+def best_cut(margin: np.ndarray, quality: np.ndarray) -> float:
+    """The cut with most rows right (1 at or above it); amid equally good ones, the middle."""
+    order = np.argsort(margin, kind="stable")
+    z, q = margin[order], quality[order].astype(np.int64)
+    # right when the first k rows are called bad; only between different margins
+    right = np.concatenate(([0], np.cumsum(1 - q))) + np.concatenate((np.cumsum(q[::-1])[::-1], [0]))
+    edges = np.concatenate(([z[0] - 1], (z[1:] + z[:-1]) / 2, [z[-1] + 1]))
+    apart = np.concatenate(([True], z[1:] > z[:-1], [True]))
+    best = np.flatnonzero(apart & (right == right[apart].max()))
+    return float(edges[best].mean() if np.array_equal(best, np.arange(best[0], best[-1] + 1)) else edges[best[len(best) // 2]])
 
 
 def fit(positives: np.ndarray, unlabelled: np.ndarray) -> Model:
@@ -173,13 +199,13 @@ def fit(positives: np.ndarray, unlabelled: np.ndarray) -> Model:
     return Model(cuts, _fit(p, u, size, prior), prior)
 
 
-def _sample(rows: DataFrame, most: int) -> np.ndarray:
+def _sample(rows: DataFrame, most: int, *more: str) -> tuple[np.ndarray, list]:
     """All rows, or about ``most`` of them, chosen by a hash of the id (the
-    documented bound on what reaches the driver)."""
+    documented bound on what reaches the driver): features, and the columns ``more``."""
     n = rows.count()
     some = rows if n <= most else rows.where(unit_draw(F.col("doc_id"), F.lit("sample")) < most / n)
-    got = [r["x"] for r in some.select("x").collect()]
-    return np.array(got, np.float64).reshape(len(got), len(FEATURES))
+    got = some.select("x", *more).collect()
+    return np.array([r["x"] for r in got], np.float64).reshape(len(got), len(FEATURES)), [r[1:] for r in got]
 
 
 def train(table: DataFrame, labels: DataFrame) -> Model:
@@ -187,7 +213,9 @@ def train(table: DataFrame, labels: DataFrame) -> Model:
     known = labels.where(fold(F.col("doc_id")) != HELD_OUT).groupBy("doc_id").agg(F.max("quality").alias("quality"))
     good = table.join(known.where("quality = 1"), "doc_id", "left_semi")
     web = table.join(known, "doc_id", "left_anti")
-    return fit(_sample(good, POSITIVES), _sample(web, UNLABELLED))
+    model = fit(_sample(good, POSITIVES)[0], _sample(web, UNLABELLED)[0])
+    x, marks = _sample(table.join(known.where("quality IN (0, 1)"), "doc_id"), LABELLED, "quality")
+    return model.calibrate(x, np.array([m[0] for m in marks], np.int64))
 
 
 def _scores(model: Model):

@@ -368,3 +368,34 @@ def test_postings_across_blocks(monkeypatch):
     for block in (1, 2, 5, 7):
         monkeypatch.setattr(secrets, "BLOCK", block)
         assert {k: v.tolist() for k, v in secrets.postings(texts, [b"ghp", b"aki", b"zzz"]).items()} == want
+
+
+def test_pu_fit_reaches_the_least_risk():
+    """The fitted weights against a grid search of the non-negative risk (one feature of two
+    bins and the constant), and its slope where the risk is not clipped."""
+    import itertools
+
+    import numpy as np
+    p, u = np.array([[0]] * 9 + [[1]]), np.array([[0]] * 30 + [[1]] * 70)
+    log = lambda z: np.log1p(np.exp(-z))
+
+    def risk(w, prior):
+        zp, zu = w[p].sum(1) + w[-1], w[u].sum(1) + w[-1]
+        rest = log(-zu).mean() - prior * log(-zp).mean()
+        return prior * log(zp).mean() + max(0.0, rest) + pu_quality.DECAY / 2 * (w[:-1] ** 2).sum()
+
+    for prior in (0.1, 0.3):
+        got = risk(pu_quality._fit(p, u, 2, prior), prior)
+        grid = np.arange(-4, 4.01, 0.25)
+        best = min(risk(np.array(w), prior) for w in itertools.product(grid, grid, grid))
+        assert got <= best + 0.02
+
+
+def test_pu_cut_is_calibrated_on_labels():
+    import numpy as np
+    rng = np.random.default_rng(4)
+    for _ in range(50):
+        z, q = np.round(rng.normal(size=30), 1), rng.integers(0, 2, 30)
+        cut = pu_quality.best_cut(z, q)
+        most = max(int(((z >= c) == q).sum()) for c in [*(np.unique(z)), z.max() + 1, z.min() - 1])
+        assert int(((z >= cut) == q).sum()) == most
