@@ -39,7 +39,6 @@ are read, so extra columns are harmless.
 from __future__ import annotations
 
 import hashlib
-import math
 import re
 from collections.abc import Iterator
 
@@ -363,7 +362,7 @@ def _level(slim: DataFrame, size: int, attempt: int, frequent: DataFrame, total:
     """The merged stripes of prefixes of ``size`` words; ``frequent``: those prefixes
     (w1, w2, w3, n)."""
     context = slim.sparkSession.sparkContext
-    bits = min(28, max(22, math.ceil(math.log2(16 * (frequent.count() + 1)))))
+    bits = sketch.bits_for(frequent.count(), 28)
     keys = lambda b: _phrase_hash([b.column(i).to_numpy().view(np.uint64) for i in range(size)])
     bitmap = context.broadcast(sketch.bit_array(sketch.build(frequent.select(*KEYS[:size]), keys, bits=bits), 1, bits=bits))
     # words that hold 1 / HOT of all words are at most HOT; longer phrases as well

@@ -30,6 +30,12 @@ HELD = 2_000_000
 SCHEMA = "block int, once binary, more binary"
 
 
+def bits_for(keys: int, most: int = BITS) -> int:
+    """Width for a sketch of that many distinct keys: 16 cells a key, one block at least and
+    ``most`` at most."""
+    return min(most, max(BLOCK_BITS, (16 * keys).bit_length()))
+
+
 def cells_of(h: np.ndarray, depth: int, bits: int) -> list[np.ndarray]:
     return [((mixed(h + U(r) * U(SEEDS[1])) >> U(64 - bits)).astype(np.int64) + (r << bits)) for r in range(depth)]
 

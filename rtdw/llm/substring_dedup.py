@@ -96,7 +96,7 @@ def _window_keys(b: pa.RecordBatch) -> np.ndarray:
     return _window_key(b.column(0).to_numpy().view(np.uint64), b.column(1).to_numpy().view(np.uint32).astype(np.uint64))
 
 
-def _windows(size: int, bits_of, skip_shared: bool, only_of=None):
+def _windows(size: int, bits_of, skip_shared: bool, only_of=None, only_bits: int = 0):
     """The windows estimated repeated; with ``only_of``, of these the ones whose hashes are in
     that bit array."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,7 +113,7 @@ def _windows(size: int, bits_of, skip_shared: bool, only_of=None):
             one = w.runs(h, size, SEEDS[0])[at]
             two = w.runs(w.hashes(SEEDS[1]), size, SEEDS[1])[at] >> U(32)
             if only_of is not None:
-                some = sketch.test(only_of.value, _window_key(one, two))
+                some = sketch.test(only_of.value, _window_key(one, two), bits=only_bits)
                 at, doc, one, two = at[some], doc[some], one[some], two[some]
             yield pa.RecordBatch.from_arrays([
                 pa.array(one.view(np.int64)), pa.array(two.astype(np.uint32).view(np.int32)),
@@ -136,12 +136,12 @@ def _shared(bits_of):
     return run
 
 
-def _flagged(bits_of, ids_of, flagged: bool):
+def _flagged(bits_of, ids_of, id_bits: int, flagged: bool):
     """Texts of their own whose row may have repeated starts, or all others."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, TEXT, PIECE):
             w = Words(_texts(b.column(TEXT)))
-            hit = sketch.test(ids_of.value, _row_keys(b))
+            hit = sketch.test(ids_of.value, _row_keys(b), bits=id_bits)
             yield b.filter(pa.array((hit == flagged) & ~sketch.test(bits_of.value, _whole(w, w.hashes(SEEDS[0])))))
     return run
 
@@ -184,6 +184,13 @@ KEPT = "id long, n_words long, n_removed long, kept_sha256 string, kept_text str
 SLIM = "id long, digest long, text string"
 
 
+def _set_of(rows: DataFrame, keys):
+    """A broadcast bit array of the rows' keys, and its width: by their number, 32 MB at most."""
+    bits = sketch.bits_for(rows.count())
+    array = sketch.bit_array(sketch.build(rows, keys, bits=bits), 1, bits=bits)
+    return rows.sparkSession.sparkContext.broadcast(array), bits
+
+
 def dedup(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     """Per row: doc_id, n_words, n_removed, kept_sha256 and kept_text (the words
     that stay, joined by one space)."""
@@ -209,19 +216,19 @@ def dedup(docs: DataFrame, size: int = WINDOW) -> DataFrame:
 
     rows = "h1 long, h2 int, id long, digest long, start int"
     # not stored: hashing again is cheaper than a table of random hashes
-    windows = lambda only=None: slim.mapInArrow(_windows(size, bits, True, only), rows).unionByName(
-        firsts.mapInArrow(_windows(size, bits, False, only), rows))
+    windows = lambda *only: slim.mapInArrow(_windows(size, bits, True, *only), rows).unionByName(
+        firsts.mapInArrow(_windows(size, bits, False, *only), rows))
     earliest = stored(windows().groupBy("h1", "h2").agg(
         F.max(place("start")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "substring-earliest")
-    # only what stands twice goes to the join: told to the scan by a bit array of fixed size
-    again = context.broadcast(sketch.bit_array(sketch.build(earliest.select("h1", "h2"), _window_keys), 1))
-    repeats = windows(again).join(earliest, ["h1", "h2"]).where(place("start") < F.col("first"))
+    # only what stands twice goes to the join: told to the scan by a bit array of bounded size
+    again, again_bits = _set_of(earliest.select("h1", "h2"), _window_keys)
+    repeats = windows(again, again_bits).join(earliest, ["h1", "h2"]).where(place("start") < F.col("first"))
     # one row per document; its positions are bounded by its own length
     starts = stored(repeats.groupBy(*ROW).agg(F.collect_set("start").alias("starts")), "substring-starts")
-    ids = context.broadcast(sketch.bit_array(sketch.build(starts.select(*ROW), _row_keys), 1))
+    ids, id_bits = _set_of(starts.select(*ROW), _row_keys)
 
-    plain = slim.mapInArrow(_flagged(bits, ids, False), SLIM).withColumn("starts", F.lit(None).cast("array<int>"))
-    some = slim.mapInArrow(_flagged(bits, ids, True), SLIM).unionByName(firsts)
+    plain = slim.mapInArrow(_flagged(bits, ids, id_bits, False), SLIM).withColumn("starts", F.lit(None).cast("array<int>"))
+    some = slim.mapInArrow(_flagged(bits, ids, id_bits, True), SLIM).unionByName(firsts)
     some = some.join(starts.select(F.col("id").alias("of"), F.col("digest").alias("with"), "starts"),
                      F.col("id").eqNullSafe(F.col("of")) & (F.col("digest") == F.col("with")), "left")
     kept = lambda df: df.select("id", "text", "starts").mapInArrow(_kept(size), KEPT)
