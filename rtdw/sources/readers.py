@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sinks import camel_case, kafka_source_options
+from ..sinks.keyed import KeyedTable
 from .envelope import CDC_SCHEMA, ORDER_DETAIL_FACT_SCHEMA, parse_plain
 
 
@@ -78,3 +79,39 @@ def read_jdbc(spark: SparkSession, url: str, query: str, user: str, password: st
     df = (spark.read.format("jdbc").option("url", url).option("query", query)
           .option("user", user).option("password", password).load())
     return df.toDF(*[camel_case(c) for c in df.columns]) if camel else df
+
+
+def after_snapshot(changes: DataFrame, position: int, column: str = "seq") -> DataFrame:
+    """SRC2, batch: the log's changes that a snapshot taken at ``position`` does not hold, each
+    once however often it was delivered."""
+    return changes.where(F.col(column) > position).dropDuplicates([column])
+
+
+class Handover:
+    """SRC2 as a stream: a snapshot, then the changes behind it, each once.
+
+    ``write`` is a ``foreachBatch`` function over the change log (envelopes with ``part``, the log's
+    partition, and ``position``, ascending in it). Per partition a change passes if its position is
+    beyond the highest one written so far, which starts at the snapshot's; the positions are a keyed
+    table, so a batch that runs again or comes again writes nothing twice. Every batch writes its own
+    folder under ``path/out``; the snapshot is folder 0."""
+
+    def __init__(self, spark: SparkSession, path: str, snapshot: DataFrame, positions: dict[str, int]):
+        self.path, self.spark = path.rstrip("/"), spark
+        self.held = KeyedTable(spark, f"{self.path}/positions", ["part"], "part string, position bigint", buckets=1)
+        self.start = spark.createDataFrame(sorted(positions.items()), "part string, position bigint")
+        snapshot.write.mode("overwrite").parquet(f"{self.path}/out/batch=-1")
+
+    def write(self, batch: DataFrame, batch_id: int) -> None:
+        latest = lambda df: df.groupBy("part").agg(F.max("position").alias("position"))
+        known = latest(self.held.read(batch_id).unionByName(self.start)).withColumnRenamed("position", "known")
+        new = batch.join(known, "part", "left").where(F.col("known").isNull() | (F.col("position") > F.col("known"))).drop(
+            "known").dropDuplicates(["part", "position"]).persist()
+        try:
+            new.drop("part", "position").write.mode("overwrite").parquet(f"{self.path}/out/batch={batch_id}")
+            self.held.commit(batch_id, latest(new), lambda stored, more: latest(stored.unionByName(more)))
+        finally:
+            new.unpersist()
+
+    def read(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/out").drop("batch")
