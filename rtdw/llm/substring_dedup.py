@@ -20,7 +20,7 @@ The bit arrays that are broadcast have a fixed size, not the corpus's.
 Defined results: a null or blank text has no words (the hash is that of the empty
 text); a start is earlier only if its doc_id or its position is smaller, so
 repeated rows keep their words, but each row has its own windows: rows are known by id and
-text; null ids come last, as one document; an empty table gives an empty table;
+text; the text's digest is only carried where an id stands with several texts; null ids come last, as one document; an empty table gives an empty table;
 clashing extra columns are harmless (only the id and the text are read).
 """
 
@@ -96,12 +96,21 @@ def _window_keys(b: pa.RecordBatch) -> np.ndarray:
     return _window_key(b.column(0).to_numpy().view(np.uint64), b.column(1).to_numpy().view(np.uint32).astype(np.uint64))
 
 
-def _windows(size: int, bits_of, skip_shared: bool, only_of=None, only_bits: int = 0):
+def _told_apart(b: pa.RecordBatch, several_of, several_bits: int) -> pa.RecordBatch:
+    """The batch with the digest 0 where the id has one text only: most ids, whose rows then
+    shuffle no digest. (A bit array that lets more through keeps more digests.)"""
+    keep = sketch.test(several_of.value, _id_key(b), bits=several_bits)
+    digest = b.column(1).to_numpy(zero_copy_only=False)
+    return b.set_column(1, "digest", pa.array(np.where(keep, digest, 0)))
+
+
+def _windows(several: tuple, size: int, bits_of, skip_shared: bool, only_of=None, only_bits: int = 0):
     """The windows estimated repeated; with ``only_of``, of these the ones whose hashes are in
     that bit array."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = bits_of.value
         for b in pieces(batches, TEXT, PIECE):
+            b = _told_apart(b, *several)
             w = Words(_texts(b.column(TEXT)))
             h = w.hashes(SEEDS[0])
             at, low, _ = _minimizers(w, h, size)
@@ -122,12 +131,12 @@ def _windows(size: int, bits_of, skip_shared: bool, only_of=None, only_bits: int
     return run
 
 
-def _shared(bits_of):
+def _shared(several: tuple, bits_of):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, TEXT, PIECE):
             w = Words(_texts(b.column(TEXT)))
             hit = sketch.test(bits_of.value, _whole(w, w.hashes(SEEDS[0])))
-            some = b.filter(pa.array(hit))
+            some = _told_apart(b.filter(pa.array(hit)), *several)
             words = [t.split() for t in _texts(some.column(TEXT))]
             yield pa.RecordBatch.from_arrays([
                 *some.columns, pa.array([len(x) for x in words], pa.int64()),
@@ -136,19 +145,23 @@ def _shared(bits_of):
     return run
 
 
-def _flagged(bits_of, ids_of, id_bits: int, flagged: bool):
+def _flagged(several: tuple, bits_of, ids_of, id_bits: int, flagged: bool):
     """Texts of their own whose row may have repeated starts, or all others."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, TEXT, PIECE):
             w = Words(_texts(b.column(TEXT)))
+            b = _told_apart(b, *several)
             hit = sketch.test(ids_of.value, _row_keys(b), bits=id_bits)
             yield b.filter(pa.array((hit == flagged) & ~sketch.test(bits_of.value, _whole(w, w.hashes(SEEDS[0])))))
     return run
 
 
+def _id_key(b: pa.RecordBatch) -> np.ndarray:
+    return mixed(pc.fill_null(b.column(0), 0).to_numpy(zero_copy_only=False).view(np.uint64))
+
+
 def _row_keys(b: pa.RecordBatch) -> np.ndarray:
-    read = lambda i: pc.fill_null(b.column(i), 0).to_numpy(zero_copy_only=False).view(np.uint64)
-    return mixed(mixed(read(0)) ^ read(1))
+    return mixed(_id_key(b) ^ b.column(1).to_numpy(zero_copy_only=False).view(np.uint64))
 
 
 def _kept(size: int):
@@ -198,11 +211,14 @@ def dedup(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     text = docs["text"].cast("string")
     slim = docs.select(docs["doc_id"].cast("long").alias("id"), F.xxhash64(text).alias("digest"), text.alias("text"))
     bits = context.broadcast(sketch.bit_array(sketch.build(slim, _keys(size), text=TEXT), 2))
+    # ids with several texts: as rule none or few, told to the scans by a bit array
+    several = _set_of(stored(slim.groupBy("id").agg(F.min("digest").alias("a"), F.max("digest").alias("b"))
+                             .where("a <> b").select("id"), "substring-ids"), _id_key)
     # the larger the earlier: a null id is smaller than all others, so it comes last
     place = lambda *more: F.struct(F.bitwise_not("id").alias("id"), *(F.bitwise_not(c).alias(c) for c in more))
 
     # texts that may be copies: classed exactly by their whole word sequence
-    copies = stored(slim.mapInArrow(_shared(bits), f"{SLIM}, n_words long, whole string"), "substring-copies")
+    copies = stored(slim.mapInArrow(_shared(several, bits), f"{SLIM}, n_words long, whole string"), "substring-copies")
     # stored, so that the join reads two plain exchanges and a hot group can be split
     first = stored(copies.groupBy("whole").agg(F.max(place()).alias("first")), "substring-firsts")
     classed = copies.join(first, "whole")
@@ -216,8 +232,8 @@ def dedup(docs: DataFrame, size: int = WINDOW) -> DataFrame:
 
     rows = "h1 long, h2 int, id long, digest long, start int"
     # not stored: hashing again is cheaper than a table of random hashes
-    windows = lambda *only: slim.mapInArrow(_windows(size, bits, True, *only), rows).unionByName(
-        firsts.mapInArrow(_windows(size, bits, False, *only), rows))
+    windows = lambda *only: slim.mapInArrow(_windows(several, size, bits, True, *only), rows).unionByName(
+        firsts.mapInArrow(_windows(several, size, bits, False, *only), rows))
     earliest = stored(windows().groupBy("h1", "h2").agg(
         F.max(place("start")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "substring-earliest")
     # only what stands twice goes to the join: told to the scan by a bit array of bounded size
@@ -227,8 +243,8 @@ def dedup(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     starts = stored(repeats.groupBy(*ROW).agg(F.collect_set("start").alias("starts")), "substring-starts")
     ids, id_bits = _set_of(starts.select(*ROW), _row_keys)
 
-    plain = slim.mapInArrow(_flagged(bits, ids, id_bits, False), SLIM).withColumn("starts", F.lit(None).cast("array<int>"))
-    some = slim.mapInArrow(_flagged(bits, ids, id_bits, True), SLIM).unionByName(firsts)
+    plain = slim.mapInArrow(_flagged(several, bits, ids, id_bits, False), SLIM).withColumn("starts", F.lit(None).cast("array<int>"))
+    some = slim.mapInArrow(_flagged(several, bits, ids, id_bits, True), SLIM).unionByName(firsts)
     some = some.join(starts.select(F.col("id").alias("of"), F.col("digest").alias("with"), "starts"),
                      F.col("id").eqNullSafe(F.col("of")) & (F.col("digest") == F.col("with")), "left")
     kept = lambda df: df.select("id", "text", "starts").mapInArrow(_kept(size), KEPT)
