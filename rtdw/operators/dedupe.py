@@ -7,10 +7,10 @@ batch the same answers come from aggregations over (time, seq) structs:
 * "latest record of a key"          = ``max(struct(order..., seq, payload))``
 
 Both are declarative aggregates, so Spark runs them as partial (map-side)
-+ final hash aggregation: a device or user that owns a third of all rows
-collapses to one row per map task before the shuffle instead of landing in
-one sort-based window partition. Window functions are used only over such
-pre-aggregated sets whose size per key is bounded (e.g. distinct days).
++ final aggregation (by sorting, as the buffer is a struct): a device or user that
+owns a third of all rows collapses to one row per map task before the shuffle.
+Window functions are used over such pre-aggregated sets, whose size per key is bounded
+(e.g. distinct days), and in ``net_replace_rows`` over the versions of one record.
 """
 
 from __future__ import annotations

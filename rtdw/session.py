@@ -1,9 +1,8 @@
 """Session construction and cluster-facing settings.
 
-The library never hard-codes a scratch folder: lineage is cut with
-``DataFrame.checkpoint()`` into the shared folder named by the cluster in
-``spark.checkpoint.dir``. Only when that is unset (tests, laptops) do we pick
-one ourselves.
+The library never hard-codes a scratch folder: stored tables, stream checkpoints and
+keyed tables lie under the shared folder named by the cluster in ``spark.checkpoint.dir``. Only
+when that is unset (tests, laptops) do we pick one ourselves.
 """
 
 from __future__ import annotations

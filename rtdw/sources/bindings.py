@@ -10,10 +10,13 @@ rule is stated next to the code.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.timefn import ts_to_ms
+from ..session import state_dir
 
 DB_NAME = "gmall"
 
@@ -363,7 +366,7 @@ def cdc_cart_info(spark, sf_dir) -> DataFrame:
                 ["id", "user_id", "sku_id", "sku_num"], F.col("ts_ms"), seq=F.col("seq"))
 
 
-def topic_db(spark: SparkSession, sf_dir: str) -> DataFrame:
+def change_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole-database change stream: every source table as envelopes."""
     parts = [cdc_order_info, cdc_order_detail, cdc_order_detail_activity,
              cdc_order_detail_coupon, cdc_payment_info, cdc_order_refund_info,
@@ -374,6 +377,26 @@ def topic_db(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def topic_db(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``change_stream`` as a topic keeps it: written once a session, one folder per source table
+    (the log is the jobs' input, not their work). ``source`` is put together from the folder's
+    name, so a selection of one table reads that table's files only."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORED:
+        path = state_dir(spark, f"topic-db-{uuid.uuid4().hex[:8]}")
+        change_stream(spark, sf_dir).select(
+            "op", "ts_ms", "before", "after", F.col("source")["db"].alias("db"), "seq",
+            F.col("source")["table"].alias("source_table")).write.partitionBy("source_table").parquet(path)
+        _STORED[key] = path
+    log = spark.read.schema("op string, ts_ms bigint, before map<string,string>, after map<string,string>, db string, "
+                            "seq bigint, source_table string").parquet(_STORED[key])
+    return log.select("op", "ts_ms", "before", "after", F.create_map(
+        F.lit("db"), F.col("db"), F.lit("table"), F.col("source_table")).alias("source"), "seq")
+
+
 # ------------------------------------------------------------ dimensions --
 
 def base_dic(spark: SparkSession) -> DataFrame:
