@@ -22,7 +22,7 @@ So no link between components is lost that shares a band (at similarity 0.75 a
 pair misses all 32 bands with probability 5e-6).
 
 Sets are built only for classes that stand in a candidate pair; which ones is told
-to the scan by a fixed-size bit array. Nothing per document reaches the driver.
+to the scan by a bit array sized by their number (32 MB at most). Nothing per document reaches the driver.
 
 Defined results: a null or blank text has an empty set, is linked with nothing and
 is its own component; fewer than five words are one shingle; rows that share a
@@ -130,11 +130,11 @@ def _wanted_keys(b: pa.RecordBatch) -> np.ndarray:
     return _row_keys(b.column(0), b.column(1))
 
 
-def _set_rows(wanted):
+def _set_rows(wanted, bits: int):
     """(id, digest, set) for rows that may stand for a class of a candidate pair."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, 1):
-            some = b.filter(pa.array(sketch.test(wanted.value, _row_keys(b.column(0), b.column(2)))))
+            some = b.filter(pa.array(sketch.test(wanted.value, _row_keys(b.column(0), b.column(2)), bits=bits)))
             sets = _sets(_texts(some.column(1)))
             yield pa.RecordBatch.from_arrays([
                 some.column(0), some.column(2), pa.array([s.tobytes() for s in sets], pa.binary())],
@@ -179,9 +179,10 @@ def confirmed(slim: DataFrame, classes: DataFrame, pairs: DataFrame, percent: in
     """The pairs (a, b) of classes whose full shingle sets reach ``percent``."""
     ids = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
     rows = stored(classes.select("rep", "row.id", "row.digest").join(ids, "rep", "left_semi"), "minhash-wanted")
+    bits = sketch.bits_for(rows.count())
     wanted = slim.sparkSession.sparkContext.broadcast(
-        sketch.bit_array(sketch.build(rows.select("id", "digest"), _wanted_keys), 1))
-    sets = stored(slim.where("id IS NOT NULL").mapInArrow(_set_rows(wanted), "id long, digest long, shingles binary")
+        sketch.bit_array(sketch.build(rows.select("id", "digest"), _wanted_keys, bits=bits), 1, bits=bits))
+    sets = stored(slim.where("id IS NOT NULL").mapInArrow(_set_rows(wanted, bits), "id long, digest long, shingles binary")
                   .join(rows, ["id", "digest"]).dropDuplicates(["id", "digest"]).select("rep", "shingles"), "minhash-sets")
     left = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb"))
