@@ -14,7 +14,8 @@ SUBSET = ["traffic_vc_ch_ar_is_new", "user_login_window", "province_order_window
           "sku_order_enriched", "keyword_window", "fact_order_detail", "fact_refund_pay_suc",
           "dim_route", "dim_merge", "log_page", "dirty_records", "cdc_select_order_cancel",
           "fact_order_refund", "dwd_route", "province_order_from_fact", "metric_json_read", "cdc_gate_json",
-          "log_parsed", "stream_traffic_home_detail_uv", "stream_province_order_window"]
+          "log_parsed", "stream_traffic_home_detail_uv", "stream_province_order_window", "dim_job",
+          "stream_log_split", "stream_dwd_route"]
 
 
 @pytest.fixture(scope="module")
