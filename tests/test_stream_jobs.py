@@ -137,6 +137,24 @@ def test_sku_periods_of_event_time(spark):
     assert got == {"00:00:00": (7.0, "shoe", "n1"), "00:00:10": (7.0, "shoe", "n1"), "00:00:20": (9.0, "shoe", "n1")}
 
 
+def test_sku_periods_in_one_session(spark):
+    """Rows that follow each other within the delay, over two batches: at the deadline a row still counts, of equal
+    versions the later one; no Python operator is asked for each id."""
+    d = "2024-01-01 00:00:"
+    replay = Replay([sku_rows(spark, ("a", 1, 10, 1, d + "00"), ("a", 1, 10, 2, d + "05"), ("a", 9, 1, 3, d + "05.001")),
+                     sku_rows(spark, ("a", 2, 5, 4, d + "09"), ("a", 1, 5, 6, d + "10.001"), ("a", 1, 1, 8, d + "10.002"),
+                              ("b", 1, 1, 9, None)),
+                     sku_rows(spark, ("z", 1, 1, 0, "2200-01-01 00:00:00"))], "sku-session")
+    latest = sku_job.sku_latest(replay.stream, event_time=True)
+    assert "Python" not in latest._jdf.queryExecution().analyzed().toString() and "Transform" not in latest._jdf.queryExecution().analyzed().toString()
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", sku_job.ROCKSDB)
+    seen = []
+    replay.run(latest.writeStream.foreachBatch(lambda df, n: seen.extend(
+        (r["id"], r["split_total_amount"], r["emitted_ms"] % 60_000) for r in df.collect()))
+        .option("checkpointLocation", f"{replay.path}/checkpoint"))
+    assert sorted(seen) == [("a", "2", 5000), ("a", "4", 10001), ("a", "8", 15002)]
+
+
 def test_sku_timers_of_processing_time(spark, tmp_path):
     """The timer emits the newest row some time after the first, without further input."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", sku_job.ROCKSDB)
