@@ -1,5 +1,9 @@
 """Fact joins as streams: several micro-batches, late sides, the bound of the retention."""
 
+from rtdw.session import settings
+from pyspark.sql import functions as F
+
+from rtdw.session import settings
 from rtdw.streaming import fact_jobs as FJ
 from rtdw.streaming.replay import Replay
 
@@ -62,3 +66,27 @@ def test_refunds_join_three_sides(spark):
     assert set(got) == {"p1"} and got["p1"]["refund_num"] == "3" and got["p1"]["province_id"] == "p"
     got = run(spark, [[head], [req]], "order_refund")
     assert set(got) == {"r1"} and got["r1"]["refund_amount"] == "6"
+
+
+def test_a_batch_is_kept_while_it_is_upserted(spark):
+    """Its two readings must not run the last join's state twice."""
+    class Table:
+        key = ["id"]
+
+        def commit(self, n, batch, merge):
+            self.seen = (n, batch.is_cached, batch.count())
+
+    table, batch = Table(), spark.range(3).select("id", F.lit(1).alias("version_ms"))
+    FJ.upsert(table)(batch, 7)
+    assert table.seen == (7, True, 3) and not batch.is_cached
+
+
+def test_a_join_keeps_one_store_a_partition(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 1_000)], "id string, ts_ms bigint")
+    replay = Replay([rows], "one-store")
+    x, y = (FJ._timed(replay.stream, n, "1 hour") for n in ("x", "y"))
+    joined = x.join(y, (F.col("x.id") == F.col("y.id")) & FJ._within("x._x", "y._y", "1 hour")).select("x.id")
+    with settings(spark, FJ.JOIN_STATE):
+        replay.run(joined.writeStream.foreachBatch(lambda b, n: b.count()).option("checkpointLocation", f"{tmp_path}/c"))
+    stores = [p.name for p in (tmp_path / "c" / "state" / "0" / "0").iterdir()]
+    assert not any("key" in name.lower() for name in stores), stores
