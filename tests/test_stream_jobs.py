@@ -174,3 +174,26 @@ def test_sku_timers_of_processing_time(spark, tmp_path):
     finally:
         q.stop()
     assert [s[:2] for s in seen] == [("a", 2)] and seen[0][2] >= started * 1000 + 2500
+
+
+def test_logins_are_not_framed_user_by_user(spark):
+    """Rows, not pandas frames; the back flag over batches, rows of one day and a row without a time."""
+    rows = lambda *r: spark.createDataFrame(
+        [(k, u, "signup", 0.0, t) for k, (u, t) in enumerate(r, 1)], "event_id long, user_id long, event_type string, value double, ts string"
+    ).withColumn("ts", F.col("ts").cast("timestamp"))
+    replay = Replay([rows((1, "2024-01-01 00:00:01"), (1, "2024-01-01 00:00:31"), (2, "2024-01-01 00:00:02"), (1, None)),
+                     rows((1, "2024-01-09 00:00:01"), (2, "2024-01-08 00:00:02"), (3, "2024-01-09 00:00:03"), (2, "2024-01-09 00:00:04")),
+                     rows((9, "2200-01-01 00:00:00"))], "login-rows")
+    days = J.user_login_window(replay.stream)
+    assert "InPandas" not in days._jdf.queryExecution().analyzed().toString()
+    got = {r["stt"][5:]: (r["uu_ct"], r["back_ct"]) for r in J.run_replayed(days, replay, "login-rows").collect()}
+    assert got == {"01-01 00:00:00": (2, 0), "01-08 00:00:00": (1, 0), "01-09 00:00:00": (3, 1)}
+
+
+def test_search_texts_are_joined_before_the_replay(spark, monkeypatch):
+    """No batch of the stream reads the documents again."""
+    from rtdw.plans import queries as Q
+    seen = []
+    monkeypatch.setattr(Q.stream_jobs, "run_replayed", lambda df, *a: seen.append(df))
+    Q.stream_keyword_window(spark, SF)
+    assert "Join" not in seen[0]._jdf.queryExecution().analyzed().toString()
