@@ -15,7 +15,10 @@ Links between classes:
 1. every class meets, in its bands, the least class of the bucket (the hub); the
    hub with the nearest sketch is confirmed. That is one pair per class,
    however large the bucket, and joins almost all members of a group.
-2. Classes that still stand in different components meet all bucket mates of other
+2. ``TURNS`` times, the classes of buckets that still hold several components meet a class drawn anew for
+   each bucket, if it is of another component; again the nearest is confirmed. This joins most
+   of what the least classes left apart, before pairs are formed.
+3. Classes that still stand in different components meet all bucket mates of other
    components. Pairs inside a component are never formed: they cannot change it.
 
 So no link between components is lost that shares a band (at similarity 0.75 a
@@ -50,6 +53,7 @@ SHINGLE = 5
 SAMPLES = 512
 BANDS, BAND_ROWS = 32, 4          # of the first 128 samples
 ODD_BITS = 2048
+TURNS = 2                         # hubs drawn anew after the first
 
 _A = (mixed(np.arange(1, SAMPLES + 1, dtype=np.uint64) * U(SEEDS[0])) >> U(32)).astype(np.uint32) | np.uint32(1)
 _B = (mixed(np.arange(1, SAMPLES + 1, dtype=np.uint64) * U(SEEDS[1])) >> U(32)).astype(np.uint32)
@@ -196,6 +200,15 @@ def _same_document(members: DataFrame) -> DataFrame:
     return members.join(ends.select("id", "a"), "id").where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
 
 
+def _open(keys: DataFrame, buckets: DataFrame, links: DataFrame, odd: DataFrame) -> DataFrame:
+    """The classes in the buckets that hold several components, with their components."""
+    label = components(links, "a", "b")
+    marked = (keys.join(buckets.select("key"), "key").join(label, F.col("rep") == F.col("node"), "left")
+              .select("band", "key", "rep", F.coalesce("component", "rep").alias("component")))
+    mixed_up = marked.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+    return stored(marked.join(mixed_up.select("key"), "key").join(odd, "rep"), "minhash-open")
+
+
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id, kept."""
     text = docs["text"].cast("string")
@@ -227,12 +240,18 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
         classes.select("rep", *number), number).select("id", "rep")
     links = stored(confirmed(slim, classes, first, percent).unionByName(_same_document(members)), "minhash-first")
 
-    # what the hubs leave apart: bucket mates of different components
-    label = components(links, "a", "b")
-    marked = (keys.join(buckets.select("key"), "key").join(label, F.col("rep") == F.col("node"), "left")
-              .select("band", "key", "rep", F.coalesce("component", "rep").alias("component")))
-    mixed_up = marked.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    open_ = stored(marked.join(mixed_up.select("key"), "key").join(odd, "rep"), "minhash-open")
+    # what the least classes leave apart: hubs drawn anew, then all bucket mates of different components
+    tried = first
+    for turn in range(TURNS):
+        open_ = _open(keys, buckets, links, odd)
+        drawn = open_.groupBy("key").agg(F.min(F.struct(F.xxhash64("rep", "key", F.lit(turn)).alias("h"), "rep", "component", "odd", "size")).alias("hub"))
+        near = (open_.join(drawn, "key").where((F.col("component") != F.col("hub.component")) & _sizes_fit("size", "hub.size", percent))
+                .withColumn("hub_odd", F.col("hub.odd")).withColumn("differ", _difference("odd", "hub_odd")).where(F.col("differ") <= limit))
+        best = near.groupBy("rep").agg(F.min(F.struct("differ", F.col("hub.rep").alias("hub"))).alias("m"))
+        pairs = stored(best.select(F.least("rep", "m.hub").alias("a"), F.greatest("rep", "m.hub").alias("b")).distinct(), "minhash-drawn")
+        links = links.unionByName(confirmed(slim, classes, pairs, percent))
+        tried = tried.unionByName(pairs)
+    open_ = _open(keys, buckets, links, odd)
     x = open_.select("band", "key", F.col("rep").alias("a"), F.col("low").alias("la"), F.col("component").alias("ca"), F.col("odd").alias("oa"),
                      F.col("size").alias("na"))
     y = open_.select("key", F.col("rep").alias("b"), F.col("low").alias("lb"), F.col("component").alias("cb"), F.col("odd").alias("ob"),
@@ -240,7 +259,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     across = x.join(y, "key").where(
         (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _sizes_fit("na", "nb", percent)
         & (_first_common("la", "lb") == F.col("band")) & (_difference("oa", "ob") <= limit))
-    second = stored(across.select("a", "b").distinct().join(first, ["a", "b"], "left_anti"), "minhash-across")
+    second = stored(across.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "minhash-across")
     more = confirmed(slim, classes, second, percent)
 
     label = components(links.unionByName(more), "a", "b")

@@ -399,3 +399,25 @@ def test_pu_cut_is_calibrated_on_labels():
         cut = pu_quality.best_cut(z, q)
         most = max(int(((z >= c) == q).sum()) for c in [*(np.unique(z)), z.max() + 1, z.min() - 1])
         assert int(((z >= cut) == q).sum()) == most
+
+
+def test_drawn_hubs_join_before_pairs_are_formed(spark, monkeypatch):
+    """A group around the threshold: the same classes, from fewer pairs of bucket mates."""
+    import random
+    draw = random.Random(5)
+    base = [f"w{i}" for i in range(90)]
+    texts = [" ".join(f"x{n}" if draw.random() < 0.025 else w for n, w in enumerate(base, 1000 * k)) for k in range(150)]
+    group = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    formed, stored = [], minhash_dedup.stored
+
+    def counted(df, name):
+        out = stored(df, name)
+        if name == "minhash-across":
+            formed.append(out.count())
+        return out
+
+    monkeypatch.setattr(minhash_dedup, "stored", counted)
+    found = lambda: sorted(tuple(r) for r in minhash_dedup.near_duplicates(group).collect())
+    few = found()
+    monkeypatch.setattr(minhash_dedup, "TURNS", 0)
+    assert few == found() and 1.5 * formed[0] < formed[1]
