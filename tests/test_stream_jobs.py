@@ -181,7 +181,7 @@ def test_logins_are_not_framed_user_by_user(spark):
     rows = lambda *r: spark.createDataFrame(
         [(k, u, "signup", 0.0, t) for k, (u, t) in enumerate(r, 1)], "event_id long, user_id long, event_type string, value double, ts string"
     ).withColumn("ts", F.col("ts").cast("timestamp"))
-    replay = Replay([rows((1, "2024-01-01 00:00:01"), (1, "2024-01-01 00:00:31"), (2, "2024-01-01 00:00:02"), (1, None)),
+    replay = Replay([rows((1, "2024-01-01 00:00:01"), (1, "2024-01-01 00:00:31"), (2, "2024-01-01 00:00:02"), (4, None)),
                      rows((1, "2024-01-09 00:00:01"), (2, "2024-01-08 00:00:02"), (3, "2024-01-09 00:00:03"), (2, "2024-01-09 00:00:04")),
                      rows((9, "2200-01-01 00:00:00"))], "login-rows")
     days = J.user_login_window(replay.stream)
