@@ -200,13 +200,38 @@ def _same_document(members: DataFrame) -> DataFrame:
     return members.join(ends.select("id", "a"), "id").where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
 
 
-def _open(keys: DataFrame, buckets: DataFrame, links: DataFrame, odd: DataFrame) -> DataFrame:
-    """The classes in the buckets that hold several components, with their components."""
-    label = components(links, "a", "b")
-    marked = (keys.join(buckets.select("key"), "key").join(label, F.col("rep") == F.col("node"), "left")
-              .select("band", "key", "rep", F.coalesce("component", "rep").alias("component")))
-    mixed_up = marked.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    return stored(marked.join(mixed_up.select("key"), "key").join(odd, "rep"), "minhash-open")
+def _shared(keys: DataFrame) -> DataFrame:
+    """The classes of every bucket that holds several, with the bucket's least class (hub)."""
+    ordered = Window.partitionBy("key").orderBy("rep")
+    return keys.select("band", "key", "rep", F.first("rep").over(ordered).alias("hub"), F.lead("rep").over(ordered).alias("next")).where(
+        "rep <> hub OR next IS NOT NULL").drop("next")
+
+
+def _open(shared: DataFrame, label: DataFrame, turn: int | None = None) -> DataFrame:
+    """The classes in the buckets that hold several components, with their components;
+    with ``turn`` also the class drawn as the bucket's hub in that turn."""
+    bucket = Window.partitionBy("key")
+    marked = shared.join(label, F.col("rep") == F.col("node"), "left").select(
+        "band", "key", "rep", F.coalesce("component", "rep").alias("component"))
+    drawn = [] if turn is None else [
+        F.min(F.struct(F.xxhash64("rep", "key", F.lit(turn)).alias("h"), "rep", "component")).over(bucket).alias("hub")]
+    return marked.select("*", F.min("component").over(bucket).alias("lo"), F.max("component").over(bucket).alias("hi"), *drawn).where(
+        "lo <> hi").drop("lo", "hi")
+
+
+def _nearest(met: DataFrame, odd: DataFrame, percent: int) -> DataFrame:
+    """(rep, hub): of the hubs that a class met, the one of the nearest sketch, if near enough."""
+    hubs = odd.select(F.col("rep").alias("hub"), F.col("odd").alias("hub_odd"), F.col("size").alias("hub_size"))
+    near = (met.repartition("rep").distinct().join(odd.drop("low"), "rep").join(hubs, "hub")
+            .where(_sizes_fit("size", "hub_size", percent))
+            .withColumn("differ", _difference("odd", "hub_odd")).where(F.col("differ") <= odd_limit(percent / 100)))
+    return near.groupBy("rep").agg(F.min(F.struct("differ", "hub")).alias("m")).select("rep", F.col("m.hub").alias("hub"))
+
+
+def _joined(label: DataFrame, links: DataFrame) -> DataFrame:
+    """The components when ``links`` come to those of ``label``: the old ones enter as stars."""
+    stars = label.select(F.col("component").alias("a"), F.col("node").alias("b"))
+    return components(stars.unionByName(links.select("a", "b")), "a", "b")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
@@ -224,34 +249,26 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
 
     limit = odd_limit(percent / 100)
     keys = classes.select("rep", F.posexplode("bands").alias("band", "key"))
-    buckets = keys.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("other")).where("hub <> other")
-    buckets = stored(buckets.select("key", "hub"), "minhash-buckets")
-    met = keys.join(buckets, "key").where("rep <> hub").select("rep", "hub").distinct()
+    shared = stored(_shared(keys), "minhash-shared")
     low = F.transform("bands", lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF).cast("long")).cast("int"))
     odd = classes.select("rep", "odd", F.col("n_shingles").alias("size"), low.alias("low"))
-    hubs = odd.select(F.col("rep").alias("hub"), F.col("odd").alias("hub_odd"), F.col("size").alias("hub_size"))
-    near = (met.join(odd.drop("low"), "rep").join(hubs, "hub").where(_sizes_fit("size", "hub_size", percent))
-            .withColumn("differ", _difference("odd", "hub_odd")).where(F.col("differ") <= limit))
-    best = near.groupBy("rep").agg(F.min(F.struct("differ", "hub")).alias("m"))
-    first = stored(best.select(F.col("m")["hub"].alias("a"), F.col("rep").alias("b")), "minhash-hubs")
+    first = stored(_nearest(shared.where("rep <> hub").select("rep", "hub"), odd, percent).select(
+        F.col("hub").alias("a"), F.col("rep").alias("b")), "minhash-hubs")
     number = ["n_shingles", "k1", "k2"]
     several = full.groupBy("id").agg(F.min(F.struct(*number)).alias("x"), F.max(F.struct(*number)).alias("y")).where("x <> y")
     members = full.select("id", *number).join(several.select("id"), "id", "left_semi").join(
         classes.select("rep", *number), number).select("id", "rep")
-    links = stored(confirmed(slim, classes, first, percent).unionByName(_same_document(members)), "minhash-first")
+    label = components(confirmed(slim, classes, first, percent).unionByName(_same_document(members)), "a", "b")
 
     # what the least classes leave apart: hubs drawn anew, then all bucket mates of different components
     tried = first
     for turn in range(TURNS):
-        open_ = _open(keys, buckets, links, odd)
-        drawn = open_.groupBy("key").agg(F.min(F.struct(F.xxhash64("rep", "key", F.lit(turn)).alias("h"), "rep", "component", "odd", "size")).alias("hub"))
-        near = (open_.join(drawn, "key").where((F.col("component") != F.col("hub.component")) & _sizes_fit("size", "hub.size", percent))
-                .withColumn("hub_odd", F.col("hub.odd")).withColumn("differ", _difference("odd", "hub_odd")).where(F.col("differ") <= limit))
-        best = near.groupBy("rep").agg(F.min(F.struct("differ", F.col("hub.rep").alias("hub"))).alias("m"))
-        pairs = stored(best.select(F.least("rep", "m.hub").alias("a"), F.greatest("rep", "m.hub").alias("b")).distinct(), "minhash-drawn")
-        links = links.unionByName(confirmed(slim, classes, pairs, percent))
+        met = _open(shared, label, turn).where(F.col("component") != F.col("hub.component")).select("rep", F.col("hub.rep").alias("hub"))
+        pairs = stored(_nearest(met, odd, percent).select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct(),
+                       "minhash-drawn")
+        label = _joined(label, confirmed(slim, classes, pairs, percent))
         tried = tried.unionByName(pairs)
-    open_ = _open(keys, buckets, links, odd)
+    open_ = stored(_open(shared, label).join(odd, "rep"), "minhash-open")
     x = open_.select("band", "key", F.col("rep").alias("a"), F.col("low").alias("la"), F.col("component").alias("ca"), F.col("odd").alias("oa"),
                      F.col("size").alias("na"))
     y = open_.select("key", F.col("rep").alias("b"), F.col("low").alias("lb"), F.col("component").alias("cb"), F.col("odd").alias("ob"),
@@ -262,7 +279,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     second = stored(across.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "minhash-across")
     more = confirmed(slim, classes, second, percent)
 
-    label = components(links.unionByName(more), "a", "b")
+    label = _joined(label, more)
     by_class = stored(classes.select("rep", "row.id", *number).join(label, F.col("rep") == F.col("node"), "left").select(
         *number, "id", F.coalesce("component", "rep").alias("component")), "minhash-components")
     # a component is named by its least doc_id

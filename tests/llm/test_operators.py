@@ -421,3 +421,22 @@ def test_drawn_hubs_join_before_pairs_are_formed(spark, monkeypatch):
     few = found()
     monkeypatch.setattr(minhash_dedup, "TURNS", 0)
     assert few == found() and 1.5 * formed[0] < formed[1]
+
+
+def test_components_of_repeated_edges_in_two_exchanges_a_round(spark):
+    import random
+
+    from rtdw.llm import components as module
+    draw = random.Random(3)
+    pairs = [(draw.randrange(300), draw.randrange(300)) for _ in range(210)]
+    pairs += pairs[:60] + [(b, a) for a, b in pairs[60:90]] + [(i, i + 1) for i in range(400, 440)] + [(500, 500)]
+    least = {}
+    for _ in range(310):
+        for a, b in pairs:
+            if a != b:
+                least[a] = least[b] = min(least.get(a, a), least.get(b, b))
+    edges = spark.createDataFrame(pairs, "a long, b long").repartition(3)
+    assert dict(map(tuple, module.components(edges, "a", "b").collect())) == least
+    assert module.components(edges.where("a = b"), "a", "b").count() == 0
+    plan = module._small_star(module._large_star(edges.toDF("u", "v")))._jdf.queryExecution().sparkPlan().toString()
+    assert "Join" not in plan and plan.count("Window [") == 2
