@@ -1,8 +1,11 @@
 """Plans and files whose size must follow the input: the change stream, routing, replays."""
 
+import time
+
 from pyspark.sql import functions as F
 
 from rtdw.operators import facts, routing
+from rtdw.sinks.keyed import list_names
 from rtdw.sources import bindings as B
 from rtdw.streaming import routing_jobs
 from rtdw.streaming.replay import PART, Replay, in_time_order
@@ -63,3 +66,22 @@ def test_dealt_parts_are_written_in_one_pass(spark, tmp_path):
             read = spark.read.schema(replay.schema).parquet(f"{replay.path}/in/part-{k}")
             assert sorted(r["k"] for r in read.collect()) == sorted(r["k"] for r in part.collect())
         assert PART not in replay.schema.fieldNames() and replay.dealt is not None
+
+
+def test_processed_parts_and_shuffle_files_go(spark, tmp_path):
+    """A part that comes again stays until then; no batch leaves shuffle files."""
+    blocks = lambda: {b for b in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+                      .getAllBlocks().mkString(" ").split() if b.startswith("shuffle_")}
+    df = spark.range(30).select(F.col("id").alias("k"))
+    parts = [df.where(f"k % 3 = {n}") for n in range(3)]
+    replay = Replay([*parts, parts[1]], "dropped", (df, (F.col("k") % 3).cast("int")), {3: 1}, drop=True)
+    before, rows = blocks(), []
+    replay.run(replay.stream.writeStream.foreachBatch(lambda b, n: rows.append(sorted(
+        r["k"] for r in b.groupBy("k").count().repartition(2, "k").collect()))).option("checkpointLocation", f"{tmp_path}/c"))
+    assert rows == [[*range(n, 30, 3)] for n in (0, 1, 2, 1)]
+    assert list_names(spark, f"{replay.path}/in") == []
+    for _ in range(50):      # they are removed in the background
+        if not (left := blocks() - before):
+            break
+        time.sleep(0.2)
+    assert not left
