@@ -47,3 +47,23 @@ def test_emptied_buckets_and_expiry(spark, tmp_path):
     assert len(rows(t.read().where("id IS NOT NULL"))) == 4 and len(rows(t.read(6).where("id IS NOT NULL"))) == 3
     used = {v for k in t.versions() for v in t._manifest(k).values()}
     assert {int(n.split("=")[1]) for n in list_names(spark, f"{tmp_path}/data")} == used
+
+
+def test_buckets_are_merged_share_by_share(spark, tmp_path):
+    """Each share sees its own buckets only; the outcome, also of a batch that runs again, is that of one pass."""
+    make = lambda x: spark.createDataFrame(x, SCHEMA)
+    one, two = KeyedTable(spark, f"{tmp_path}/1", ["id"], SCHEMA, 8), KeyedTable(spark, f"{tmp_path}/2", ["id"], SCHEMA, 8)
+    shares = []
+
+    def merge(stored, changes):
+        shares.append({r[0] for df in (stored, changes) for r in df.select(two.bucket()).collect()})
+        return replaced(["id"], changes.select("id"))(stored, changes)
+
+    first = make([(f"k{k}", 1, "a") for k in range(40)] + [(None, 1, "a")])
+    second = make([(f"k{k}", 2, "b") for k in range(0, 60, 2)] + [(None, 2, "b")])
+    for n, changes in ((0, first), (1, second), (1, second)):
+        a = one.commit(n, changes, replaced(["id"]))
+        shares.clear()
+        assert two.commit(n, changes, merge, passes=3) == a
+        assert len(shares) == 3 and sum(map(len, shares)) == len(set.union(*shares)) == len(a)
+        assert rows(one.read().fillna("")) == rows(two.read().fillna(""))

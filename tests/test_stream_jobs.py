@@ -1,6 +1,7 @@
 """Stream jobs over several batches: redelivery, renamed dimensions, late rows, timers."""
 
 import time
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -197,3 +198,33 @@ def test_search_texts_are_joined_before_the_replay(spark, monkeypatch):
     monkeypatch.setattr(Q.stream_jobs, "run_replayed", lambda df, *a: seen.append(df))
     Q.stream_keyword_window(spark, SF)
     assert "Join" not in seen[0]._jdf.queryExecution().analyzed().toString()
+
+
+def test_sku_hops_run_over_skus_not_cells(spark, tmp_path, monkeypatch):
+    """SKUs without a name, without an id and named twice included; in one pass or in several."""
+    row = "id string, seq int, ts_ms bigint, sku_id string, " + ", ".join(f"{c} decimal(16,2)" for c in sku_job.SKU_MEASURES) + \
+        ", emitted_ms bigint"
+    batch = spark.createDataFrame([(f"d{k}", 1, 0, sku, *[Decimal(k)] * 4, 10_000 * (k % 4)) for k, sku in enumerate(
+        ["s1", "s1", "s1", "s2", "s2", "none", None, "s1"])], row)
+    two = lambda *rows: spark.createDataFrame(list(rows), "id string, name string, up string")
+    dims_ = lambda: {"sku": spark.createDataFrame([("s1", "n1", "p", "t", "3"), ("s2", "n2", "p", "t", "3"), ("s2", "n3", "p", "t", "3")],
+                                                  "id string, sku_name string, spu_id string, tm_id string, category3_id string"),
+                     "spu": two(("p", "spu", "")).withColumnRenamed("name", "spu_name"),
+                     "trademark": two(("t", "brand", "")).withColumnRenamed("name", "tm_name"),
+                     "category3": two(("3", "c3", "2")).withColumnRenamed("up", "category2_id"),
+                     "category2": two(("2", "c2", "1")).withColumnRenamed("up", "category1_id"), "category1": two(("1", "c1", ""))}
+    seen, enrich = [], sku_job.dims.enrich_sku
+    monkeypatch.setattr(sku_job.dims, "enrich_sku", lambda df, **d: (seen.append((df.columns, sorted(str(r[0]) for r in df.collect()))), enrich(df, **d))[1])
+    got = []
+    for at_once in (10**6, 3):
+        monkeypatch.setattr(sku_job, "AT_ONCE", at_once)
+        job = sku_job.SkuOrders(spark, f"{tmp_path}/{at_once}", dims_, buckets=4)
+        for n in (0, 1):
+            job.write(batch, n)
+        got.append(sorted((r["sku_id"], r["stt"][-8:], r["sku_name"] or "", r["category1_name"] or "", int(r["order_amount"]))
+                          for r in job.read().collect()))
+    assert got[0] == got[1] and seen[0] == (["sku_id"], ["None", "none", "s1", "s2"])
+    sums = {("s1", 0): 0, ("s1", 1): 1, ("s1", 2): 2, ("s1", 3): 7, ("s2", 3): 3, ("s2", 0): 4, ("none", 1): 5}
+    names = {"s1": ["n1"], "s2": ["n2", "n3"], "none": [""]}
+    assert got[0] == sorted((sku, f"00:00:{10 * w:02d}", name, "c1" if name else "", 2 * total)
+                            for (sku, w), total in sums.items() for name in names[sku])
